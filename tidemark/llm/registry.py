@@ -1,11 +1,18 @@
 """Queries and oracle SQL of the training-data operators."""
 
+from tidemark.llm import exact_dedup
+from tidemark.llm.exact_dedup import op5_exact_dedup
 from tidemark.llm.mixing import op8_mixing
+from tidemark.llm.packing import op2_packing
 from tidemark.llm.sharding import op10_sharding
 
 QUERIES = {
+    "op2_packing": op2_packing,
+    "op5_exact_dedup": op5_exact_dedup,
     "op8_mixing": op8_mixing,
     "op10_sharding": op10_sharding,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op5_exact_dedup": exact_dedup.ORACLE_SQL,
+}
