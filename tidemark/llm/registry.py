@@ -2,14 +2,18 @@
 
 from tidemark.llm import exact_dedup
 from tidemark.llm.exact_dedup import op5_exact_dedup
+from tidemark.llm.flac import op7_media
 from tidemark.llm.mixing import op8_mixing
 from tidemark.llm.packing import op2_packing
 from tidemark.llm.sharding import op10_sharding
+from tidemark.llm.token_counts import op9_token_counts
 
 QUERIES = {
     "op2_packing": op2_packing,
     "op5_exact_dedup": op5_exact_dedup,
+    "op7_media": op7_media,
     "op8_mixing": op8_mixing,
+    "op9_token_counts": op9_token_counts,
     "op10_sharding": op10_sharding,
 }
 
