@@ -7,9 +7,11 @@ from tidemark.llm.mixing import op8_mixing
 from tidemark.llm.packing import op2_packing
 from tidemark.llm.sharding import op10_sharding
 from tidemark.llm.token_counts import op9_token_counts
+from tidemark.llm.toxicity import op4_toxicity
 
 QUERIES = {
     "op2_packing": op2_packing,
+    "op4_toxicity": op4_toxicity,
     "op5_exact_dedup": op5_exact_dedup,
     "op7_media": op7_media,
     "op8_mixing": op8_mixing,
