@@ -4,12 +4,14 @@ from tidemark.llm import exact_dedup
 from tidemark.llm.exact_dedup import op5_exact_dedup
 from tidemark.llm.flac import op7_media
 from tidemark.llm.mixing import op8_mixing
+from tidemark.llm.near_dedup import op1_near_dedup
 from tidemark.llm.packing import op2_packing
 from tidemark.llm.sharding import op10_sharding
 from tidemark.llm.token_counts import op9_token_counts
 from tidemark.llm.toxicity import op4_toxicity
 
 QUERIES = {
+    "op1_near_dedup": op1_near_dedup,
     "op2_packing": op2_packing,
     "op4_toxicity": op4_toxicity,
     "op5_exact_dedup": op5_exact_dedup,
