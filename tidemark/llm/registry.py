@@ -3,6 +3,7 @@
 from tidemark.llm import exact_dedup
 from tidemark.llm.exact_dedup import op5_exact_dedup
 from tidemark.llm.flac import op7_media
+from tidemark.llm.language_model import op3_lm_scoring
 from tidemark.llm.mixing import op8_mixing
 from tidemark.llm.near_dedup import op1_near_dedup
 from tidemark.llm.packing import op2_packing
@@ -13,6 +14,7 @@ from tidemark.llm.toxicity import op4_toxicity
 QUERIES = {
     "op1_near_dedup": op1_near_dedup,
     "op2_packing": op2_packing,
+    "op3_lm_scoring": op3_lm_scoring,
     "op4_toxicity": op4_toxicity,
     "op5_exact_dedup": op5_exact_dedup,
     "op7_media": op7_media,
