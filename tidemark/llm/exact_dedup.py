@@ -15,7 +15,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import text_of
+from tidemark.llm.common import materialize, text_of
 
 FAN_OUT = 16  #: spill files a level
 LEVELS = 14  #: levels that the 64 bits of a hash serve, after the bits that dealt the bucket out
@@ -165,6 +165,17 @@ def exact_dedup(docs: DataFrame, memory: int = 96 << 20, id_col: str = "doc_id",
     return each.select(F.col("id").alias("doc_id"), "keep_id", "group_size", kept.alias("kept"), F.lower(F.hex("sha")).alias("text_sha256"))
 
 
+def without_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that ``exact_dedup`` keeps."""
+    found = materialize(exact_dedup(docs, id_col=id_col, text_col=text_col).select("doc_id", "text_sha256", "kept"), "exact")
+    each = found.groupBy("doc_id", "text_sha256").agg(F.max("kept").alias("any"), F.count("*").alias("n"))
+    gone = each.where("not any").select(F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__sha"))
+    out = docs.join(gone, docs[id_col].cast("long").eqNullSafe(F.col("__id")) & (F.sha2(text_of(text_col), 256) == F.col("__sha")), "left_anti")
+    if not each.where("any and n > 1").isEmpty():  # rows that repeat id and text
+        out = out.withColumn("__text", text_of(text_col)).dropDuplicates([id_col, "__text"]).drop("__text")
+    return out
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 

@@ -44,13 +44,13 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.
     """
     spark = docs.sparkSession
     size = F.regexp_count(text_of(text_col), F.lit(WORD)).cast("long")
-    base = materialize(docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), source_key(source_col).alias("k"), size.alias("size"), order_hash(seed, id_col).alias("u")), "mix")
+    base = materialize(docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), source_key(source_col).alias("k"), size.alias("size"), order_hash(seed, id_col).alias("u"), F.xxhash64(text_of(text_col)).alias("content")), "mix")
     quota = materialize(targets(base.groupBy("k").agg(F.first("source").alias("source"), F.sum("size").alias("source_size")), weights, share, most).withColumn("take", F.round("target").cast("long")).withColumn("blocks", F.ceil(F.col("take") / block)), "targets")
     rows, slots = base.count(), quota.agg(F.sum("blocks")).first()[0] or 0
     bits = max(1, (max(1, slots) - 1).bit_length())
 
     base = base.withColumn("b", hash_buckets(F.col("u"), bucket_count(rows)))
-    placed = prefix_sums(base, ["k"], "b", ["u", "doc_id", "size"], "size", "start", "of_source").drop("b", "u", "of_source")
+    placed = prefix_sums(base, ["k"], "b", ["u", "doc_id", "content", "size"], "size", "start", "of_source").drop("b", "u", "of_source")
     placed = placed.join(quota.select("k", "source_size", "target", "take"), "k")
 
     ends = quota.withColumn("hi", F.sum("blocks").over(Window.orderBy("k"))).withColumn("lo", F.col("hi") - F.col("blocks")).where("blocks > 0")
@@ -74,8 +74,28 @@ def taken(placed: DataFrame, pieces: DataFrame) -> DataFrame:
     sums = pieces.groupBy("k", "start", "doc_id").agg(F.sum("length").alias("words")).select("k", "start", "words", F.col("doc_id").alias("piece_id"))
     p = placed.alias("p")
     out = p.join(sums.alias("s"), (F.col("p.k") == F.col("s.k")) & (F.col("p.start") == F.col("s.start")) & F.col("p.doc_id").eqNullSafe(F.col("s.piece_id")) & (F.col("p.size") > 0), "left")
-    return out.select("p.doc_id", "p.size", "p.source_size", "p.target", F.coalesce("s.words", F.lit(0)).cast("long").alias("taken"))
+    return out.select("p.doc_id", "p.size", "p.source_size", "p.target", F.coalesce("s.words", F.lit(0)).cast("long").alias("taken"), "p.content")
+
+
+def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length_col: str = "n_chars", **plan) -> DataFrame:
+    """The rows of ``docs`` as the mix takes them: whole texts once or twice, the one at a source's end cut after its last word taken.
+
+    A document of which nothing is taken (an empty one too) is absent. Rows that repeat id and text
+    share what is taken of them. The length column, where there is one, follows the text.
+    """
+    words = taken(*mix(docs, id_col=id_col, text_col=text_col, **plan)).groupBy("doc_id", "content", "size").agg((F.sum("taken") / F.count("*")).cast("long").alias("__taken")).where("__taken > 0")
+    words = words.select(F.col("doc_id").alias("__id"), F.col("content").alias("__content"), F.col("size").alias("__size"), "__taken")
+    rows = docs.join(words, docs[id_col].eqNullSafe(F.col("__id")) & (F.xxhash64(text_of(text_col)) == F.col("__content")))
+    copies = F.sequence(F.lit(1), F.ceil(F.col("__taken") / F.col("__size")))
+    rows = rows.withColumn("__copy", F.explode(copies)).withColumn("__part", F.least(F.col("__size"), F.col("__taken") - (F.col("__copy") - 1) * F.col("__size")))
+    cut = F.array_join(F.slice(F.regexp_extract_all(text_col, F.lit(WORD), F.lit(0)), F.lit(1), F.col("__part").cast("int")), " ")
+    text = F.when(F.col("__part") < F.col("__size"), cut).otherwise(F.col(text_col))
+    kinds = dict(docs.dtypes)
+    out = {text_col: text.alias(text_col)}
+    if length_col in kinds:
+        out[length_col] = F.length(text).cast(kinds[length_col]).alias(length_col)
+    return rows.select(*(out.get(c, F.col(c)) for c in docs.columns))
 
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return taken(*mix(spark.read.parquet(f"{sf_dir}/documents.parquet")))
+    return taken(*mix(spark.read.parquet(f"{sf_dir}/documents.parquet"))).drop("content")

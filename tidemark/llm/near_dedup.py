@@ -228,5 +228,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 
 
+def without_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that ``near_duplicates`` keeps: the least id of each component, and all that are linked with nothing."""
+    gone = materialize(near_duplicates(docs, id_col, text_col).where("not kept").select(F.col("doc_id").alias("__id")), "near")
+    return docs.join(gone, docs[id_col].cast("long") == F.col("__id"), "left_anti")
+
+
 def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"))

@@ -3,6 +3,7 @@
 from tidemark.llm import exact_dedup
 from tidemark.llm.exact_dedup import op5_exact_dedup
 from tidemark.llm.flac import op7_media
+from tidemark.llm.html_text import op6_html_text
 from tidemark.llm.language_model import op3_lm_scoring
 from tidemark.llm.mixing import op8_mixing
 from tidemark.llm.near_dedup import op1_near_dedup
@@ -17,6 +18,7 @@ QUERIES = {
     "op3_lm_scoring": op3_lm_scoring,
     "op4_toxicity": op4_toxicity,
     "op5_exact_dedup": op5_exact_dedup,
+    "op6_html_text": op6_html_text,
     "op7_media": op7_media,
     "op8_mixing": op8_mixing,
     "op9_token_counts": op9_token_counts,

@@ -287,6 +287,12 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     return scored.select("doc_id", "held_out", "score", "predicted", *(F.col(f"carry_{i}").alias(c) for i, c in enumerate(carry)))
 
 
+def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose score is below 1/2."""
+    others = tuple(c for c in docs.columns if c != "doc_id")
+    return score(docs, fit(docs, labels), carry=others).where("predicted = 0").select(*docs.columns)
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     return score(docs, fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
