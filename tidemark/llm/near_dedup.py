@@ -20,6 +20,7 @@ ROWS = 4  #: registers of a band: at similarity 0.75 all 32 bands miss with prob
 BANDS = M // ROWS
 NUMBER, OF = 75, 100  #: linked if OF * intersection >= NUMBER * union
 SURE, DOUBT = 0.80, 0.57  #: estimates above are verified first; below (4.7 standard errors) never
+TEXT = 1 << 20  #: bytes of text prepared at once
 TOGETHER = 2048  #: documents compared with each other in one task
 
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
@@ -158,7 +159,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     def prepare(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
-            for block in blocks(batch.column(1)):
+            for block in blocks(batch.column(1), TEXT):
                 h, bounds = shingles(block)
                 n = np.diff(bounds)
                 s1, s2 = (np.concatenate([[0], np.cumsum(mix(h + c), dtype=np.uint64)]).astype(np.uint64) for c in (np.uint64(1), _GOLD))
@@ -206,7 +207,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     def full(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
-            for block in blocks(batch.column(1)):
+            for block in blocks(batch.column(1), TEXT):
                 h, bounds = shingles(block)
                 raw = h.tobytes()
                 yield pa.RecordBatch.from_arrays([batch.column(0)[block.first : block.first + block.n], pa.array([raw[8 * a : 8 * b] for a, b in zip(bounds, bounds[1:], strict=False)], pa.binary())], names=["id", "members"])

@@ -7,7 +7,9 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 
+WINDOW = 1 << 20  #: bytes that share one table of powers
 BLOCK = 4 << 20  #: bytes of text hashed at once; a longer text is a block of its own
 
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -46,7 +48,19 @@ def hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
     """64-bit hashes of the byte strings data[start:end]."""
     if not len(starts):
         return np.empty(0, np.uint64)
-    powers, inverse = _powers(max(22, int(len(data)).bit_length()))
+    if len(data) > WINDOW and (starts[1:] >= starts[:-1]).all():  # a window at a time: shorter tables
+        out, i = np.empty(len(starts), np.uint64), 0
+        while i < len(starts):
+            j = max(i + 1, int(np.searchsorted(starts, starts[i] + WINDOW // 2)))
+            a, b = int(starts[i]), int(ends[i:j].max())
+            out[i:j] = _hash(data[a:b], starts[i:j] - a, ends[i:j] - a)
+            i = j
+        return out
+    return _hash(data, starts, ends)
+
+
+def _hash(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    powers, inverse = _powers(max(20, int(len(data)).bit_length()))
     sums = np.zeros(len(data) + 1, np.uint64)
     np.cumsum(_VALUES[data] * powers[: len(data)], out=sums[1:])
     h = (sums[ends] - sums[starts]) * inverse[starts]
@@ -97,6 +111,16 @@ def blocks(texts: pa.Array, limit: int = BLOCK) -> Iterator[Block]:
         i = j
 
 
+def pack(a: np.ndarray) -> bytes:
+    """An array of numbers, byte plane by byte plane, compressed."""
+    return zstandard.compress(np.ascontiguousarray(a.view(np.uint8).reshape(-1, a.itemsize).T).tobytes(), 1)
+
+
+def unpack(packed: bytes, kind: type) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(zstandard.decompress(packed), np.uint8).reshape(size, -1).T).view(kind).reshape(-1)
+
+
 def spread(lengths: np.ndarray) -> np.ndarray:
     """0 .. length-1 for each length, one after the other."""
     total = int(lengths.sum())
