@@ -76,7 +76,7 @@ def test_pieces_cover_documents_and_windows(odd, none, plain):
 def test_windows_have_no_gaps_but_the_last_and_groups_are_even():
     rng = random.Random(1)
     packer = TierPacker((256, 512, 1024, 2048), 4096, 0, pool=64)
-    rows = [x for i in range(3000) for x in packer.add(i, bytes(4 * rng.choice([3, 40, 300, 700, 1500, 5000])))]
+    rows = [x for i in range(3000) for x in packer.add(i, bytes(4 * rng.choice([3, 40, 100, 200, 200, 300, 300, 400, 700, 1500, 5000])))]
     rows += packer.drain(0)
     used, tier, group = defaultdict(int), {}, {}
     for r in rows:

@@ -100,9 +100,8 @@ class TierPacker:
     """Packs the documents of one task.
 
     A document is cut into windows of the longest tier; its rest is routed to the shortest tier
-    that holds it. A bounded pool of rests waits; when it overflows, windows are packed tier by
-    tier, longest first: the longest rest of a tier opens a window of its tier, the longest waiting
-    rests that fit follow, and the last gap is filled with a cut from the shortest tier, whose
+    that holds it. A bounded pool of rests waits; when it overflows, windows are packed of whichever
+    tier has most tokens waiting: its longest rest opens a window, the longest waiting rests that fit follow, and the last gap is filled with a cut from the shortest tier, whose
     remainder is routed anew. So windows have no gaps but for the last of a task. Windows of a tier
     form step groups of ``step_tokens`` each.
     """
@@ -111,6 +110,7 @@ class TierPacker:
         self.tiers, self.step, self.pool = sorted(tiers), step_tokens, pool
         self.next = self.made = base
         self.waiting: dict[int, list[tuple[int, int, tuple]]] = {t: [] for t in self.tiers}
+        self.tokens = dict.fromkeys(self.tiers, 0)
         self.order = 0
         self.groups: dict[int, list] = {t: [0, 0] for t in self.tiers}
         self.held = 0
@@ -129,17 +129,20 @@ class TierPacker:
         n = len(piece[2]) // 4
         tier = next(t for t in self.tiers if n <= t)
         self.order += 1
+        self.tokens[tier] += n
         heapq.heappush(self.waiting[tier], (-n, self.order, piece))
         self.held += 1
 
     def take(self, tier: int) -> tuple:
         self.held -= 1
-        return heapq.heappop(self.waiting[tier])[2]
+        n, _, piece = heapq.heappop(self.waiting[tier])
+        self.tokens[tier] += n
+        return piece
 
     def drain(self, leave: int) -> Iterator[tuple]:
-        """Close windows, longest tier first, until ``leave`` rests wait."""
+        """Close windows of the tier that has the most tokens waiting, until ``leave`` rests wait."""
         while self.held > leave:
-            tier = next(t for t in reversed(self.tiers) if self.waiting[t])
+            tier = max(self.tiers, key=self.tokens.__getitem__)
             window = [self.take(tier)]
             room = tier - len(window[0][2]) // 4
             while room and self.held:
