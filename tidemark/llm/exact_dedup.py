@@ -100,7 +100,8 @@ def grace(records: Iterator[tuple[int, bytes, int, int | None]], memory: int, le
         if table.bytes > memory and level < LEVELS and len(table.contents) > 1:
             break
     else:
-        yield table
+        if table.contents:
+            yield table
         return
     folder = tempfile.mkdtemp(prefix="grace-")
     try:
