@@ -35,7 +35,7 @@ def test_base_scores_and_counts(odd, none, plain):
 def test_held_out_text_is_likelier_than_by_frequency(spark):
     rng = random.Random(1)
     tongues = [[f"{a}{x}o" for x in "bcdfg"] for a in "ae"] + [[f"{a}{x}en" for x in "klmnp"] for a in "iu"]
-    rows = [(i, " ".join(rng.choices(tongues[i % 2] + tongues[2 + i % 2], k=60))) for i in range(400)]
+    rows = [(i, " ".join(rng.choices(tongues[i % 2 * 2] + tongues[i % 2 * 2 + 1], k=60))) for i in range(400)]
     a = L.lm_scores(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
     out = [r for r in a if r["held_out"]]
     assert len(out) > 20 and sum(r["score"] for r in out) > sum(r["base_score"] for r in out) + 10
