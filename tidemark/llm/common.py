@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -31,6 +32,12 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return back
 
 
+def clear(spark: SparkSession) -> None:
+    """Delete everything that ``materialize`` has left in the session's shared folder, once its results are written."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/tidemark")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def discard(*frames: DataFrame) -> None:
     """Delete the files of materialized frames that nothing will read again."""
     for df in frames:
@@ -38,6 +45,22 @@ def discard(*frames: DataFrame) -> None:
         path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def _bytes(setting: str) -> int:
+    """A number that may have one of Spark's size suffixes."""
+    found = re.fullmatch(r"(-?\d+)([kmgt]?)b?", setting.lower())
+    return int(found[1]) << 10 * " kmgt".index(found[2] or " ") if found else 0
+
+
+def lean(df: DataFrame) -> DataFrame:
+    """``df``, in whose session Arrow batches are small: a task that passes whole texts through Python then holds a few MB of them."""
+    conf = df.sparkSession.conf
+    for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", 1000), ("spark.sql.execution.arrow.maxBytesPerBatch", 16 << 20)):
+        now = _bytes(conf.get(key))
+        if not 0 < now <= most:
+            conf.set(key, str(most))
+    return df
+
+
 def text_of(column: str | Column) -> Column:
     """A text with null as empty."""
     return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit(""))

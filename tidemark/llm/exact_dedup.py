@@ -15,7 +15,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import materialize, text_of
+from tidemark.llm.common import lean, materialize, text_of
 
 FAN_OUT = 16  #: spill files a level
 LEVELS = 14  #: levels that the 64 bits of a hash serve, after the bits that dealt the bucket out
@@ -129,7 +129,7 @@ def exact_dedup(docs: DataFrame, memory: int = 96 << 20, id_col: str = "doc_id",
     both id and text exactly one is kept. Any length of text is compared whole. An empty table
     gives no rows; other columns are not read.
     """
-    batches = docs.select(F.col(id_col).cast("long").alias("id"), text_of(text_col).alias("text"))
+    batches = lean(docs).select(F.col(id_col).cast("long").alias("id"), text_of(text_col).alias("text"))
 
     def heads(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def flush(table: OpenTable) -> Iterator[pa.RecordBatch]:

@@ -14,7 +14,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import text_of
+from tidemark.llm.common import lean, text_of
 
 SIZE = 576  #: samples of a frame
 RATE = 8000
@@ -411,7 +411,7 @@ def to_media(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
                 media = write_streams([t + b"\xff" * (-len(t) % SIZE or (0 if t else SIZE)) for t in own])
                 yield pa.RecordBatch.from_arrays([batch.column(0)[part.start : part.stop], pa.array([len(t) for t in own], pa.int64()), pa.array(media, pa.binary())], schema=schema)
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text")).mapInArrow(run, "doc_id long, n_bytes long, media binary")
+    return lean(docs).select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text")).mapInArrow(run, "doc_id long, n_bytes long, media binary")
 
 
 def pcm_blocks(media: DataFrame, frames: int = 16) -> DataFrame:

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import text_of
+from tidemark.llm.common import lean, text_of
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes noscript".split())  #: their content has no tags
@@ -316,7 +316,7 @@ def html_text(pages: DataFrame, id_col: str = "page_id", html_col: str = "html")
     whole. Nesting is followed without recursion. Null ids and repeated rows each give a row; an
     empty table none; other columns are not read.
     """
-    rows = pages.select(F.col(id_col).alias("page_id"), text_of(html_col).alias("html"))
+    rows = lean(pages).select(F.col(id_col).alias("page_id"), text_of(html_col).alias("html"))
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:

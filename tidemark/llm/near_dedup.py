@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import discard, materialize, text_of
+from tidemark.llm.common import discard, lean, materialize, text_of
 from tidemark.llm.components import UnionFind, components
 from tidemark.llm.textkit import Block, blocks, mix, spread
 
@@ -155,7 +155,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     and is kept. Ids are taken to be unique; rows that share one count as linked. An empty table
     gives no rows; other columns are not read.
     """
-    base = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text"))
+    base = lean(docs).select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text"))
 
     def prepare(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tidemark.llm.common import text_of
+from tidemark.llm.common import lean, text_of
 from tidemark.llm.textkit import MAY_SPACE, SPACES, Block, blocks, spread
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, tier int, step_group long, ids binary"
@@ -206,7 +206,7 @@ def pack(docs: DataFrame, tiers: tuple[int, ...] = (256, 512, 1024, 2048), step_
         if held:
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held, strict=True), _PIECES, strict=True)], schema=_PIECES)
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text")).mapInArrow(run, PIECES)
+    return lean(docs).select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text")).mapInArrow(run, PIECES)
 
 
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

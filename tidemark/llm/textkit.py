@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from functools import cache
 
@@ -98,6 +99,21 @@ class Block:
         return s, e, hash_spans(self.data, s, e), np.searchsorted(s, self.bounds)
 
 
+@cache
+def _libc() -> ctypes.CDLL | None:
+    try:
+        return ctypes.CDLL("libc.so.6")
+    except OSError:  # not glibc
+        return None
+
+
+def trim() -> None:
+    """Give freed memory back, since Python workers live on between tasks."""
+    pa.default_memory_pool().release_unused()
+    if libc := _libc():
+        libc.malloc_trim(0)
+
+
 def blocks(texts: pa.Array, limit: int = BLOCK) -> Iterator[Block]:
     """Texts (no nulls) of one Arrow batch in blocks of about ``limit`` bytes."""
     texts = texts.cast(pa.large_binary())
@@ -109,6 +125,7 @@ def blocks(texts: pa.Array, limit: int = BLOCK) -> Iterator[Block]:
         j = max(i + 1, int(np.searchsorted(at, at[i] + limit, "right")) - 1)
         yield Block(data[at[i] : at[j]], at[i : j + 1] - at[i], i)
         i = j
+    trim()
 
 
 def pack(a: np.ndarray) -> bytes:

@@ -13,7 +13,7 @@ import sentencepiece
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import text_of
+from tidemark.llm.common import lean, text_of
 from tidemark.llm.textkit import Block, blocks
 
 MARK = "▁"  #: how the vocabulary writes a space
@@ -129,7 +129,7 @@ def count_tokens(docs: DataFrame, name: str = "piece_bpe_32k.model", limit: int
             n = np.concatenate(found) if found else np.empty(0, np.int64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pc.binary_length(texts).cast(pa.int64()), pa.array(n, pa.int64()), pa.array(n > limit)], schema=_COUNTS)
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text")).mapInArrow(run, "doc_id long, n_bytes long, n_tokens long, over_limit boolean")
+    return lean(docs).select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text")).mapInArrow(run, "doc_id long, n_bytes long, n_tokens long, over_limit boolean")
 
 
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,10 +8,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import materialize, order_hash, text_of
+from tidemark.llm.common import lean, materialize, order_hash, text_of
 from tidemark.llm.textkit import LOWER, Block, blocks, hash_spans
 
 #: Lexicon voters: general insults, one voter a word.
@@ -32,6 +33,7 @@ PATTERNS = {
     "you are": r"(?i)\b(?:you are|you're|tu es|du bist|eres) (?:an?|une?|ein\w*)\b",
 }
 SIGNIFICANT = 6.0  #: least log likelihood ratio of a mined feature, far beyond chance among the words of a sample
+TEXT = 1 << 20  #: bytes of text scored at once
 PREFIXES = (3, 4, 5, 6, 7, 8)  #: bytes of a word's beginning that are features, beside whole words
 
 _LETTER = np.zeros(256, bool)
@@ -196,7 +198,7 @@ def fit(docs: DataFrame, labels: DataFrame, toxic: int = 4000, clean: int = 8000
     def count(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
             y = np.array([-1 if v is None else v for v in batch.column(0).to_pylist()])
-            for block in blocks(batch.column(1)):
+            for block in blocks(batch.column(1), TEXT):
                 doc, f, _ = features_of(block)
                 own = y[block.first : block.first + block.n][doc]
                 f, i = np.unique(f[own >= 0], return_inverse=True)
@@ -218,7 +220,7 @@ def fit(docs: DataFrame, labels: DataFrame, toxic: int = 4000, clean: int = 8000
     def hits(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
             texts = batch.column(2).to_pylist()
-            for block in blocks(batch.column(2)):
+            for block in blocks(batch.column(2), TEXT):
                 doc, f, n = features_of(block)
                 at = np.minimum(np.searchsorted(features, f), len(features) - 1)
                 on = features[at] == f
@@ -248,49 +250,64 @@ def fit(docs: DataFrame, labels: DataFrame, toxic: int = 4000, clean: int = 8000
     return Model(features, weights, bias)
 
 
-def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
-    """doc_id, held_out, score and predicted of each row, and the columns ``carry``, over whole texts.
+def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, held_out, score and predicted of each row, over whole texts.
 
     Null and empty texts have the score of a text without features. Null ids and repeated rows each
-    give a row; an empty table none.
+    give a row; an empty table none; other columns are not read.
     """
+    return _scored(docs, model, id_col, text_col, ())
+
+
+def _scored(docs: DataFrame, model: Model, id_col: str, text_col: str, carry: tuple[str, ...]) -> DataFrame:
+    """As ``score``, and if there are columns to ``carry`` with the text and these as carry_0, carry_1, ..., so that no names clash."""
     features, weights, bias = model.features, model.weights, model.bias
-    base = docs.select(F.col(id_col).alias("doc_id"), held_out(id_col).alias("held_out"), text_of(text_col).alias("text"), *(F.col(c).alias(f"carry_{i}") for i, c in enumerate(carry)))
+    base = lean(docs).select(F.col(id_col).alias("doc_id"), held_out(id_col).alias("held_out"), F.col(text_col).alias("text"), *(F.col(c).alias(f"carry_{i}") for i, c in enumerate(carry)))
     kinds = dict(base.dtypes)
 
+    def scores(block: Block) -> np.ndarray:
+        data, s, e, first = _words(block)
+        doc = np.repeat(np.arange(block.n), np.diff(first))
+        _, at, which = np.unique(hash_spans(data, s, e), return_index=True, return_inverse=True)
+        total = np.full(block.n, bias)
+        keys, counts = [], []
+        for rows, h in _kinds(data, s[at], e[at]):
+            to = np.minimum(np.searchsorted(features, h), len(features) - 1)
+            feature = np.full(len(at), -1)
+            hit = features[to] == h
+            feature[rows[hit]] = to[hit]
+            f = feature[which]
+            k, n = np.unique(doc[f >= 0] * len(features) + f[f >= 0], return_counts=True)
+            keys.append(k)
+            counts.append(n)
+        k, i = np.unique(np.concatenate(keys), return_inverse=True)
+        n = np.bincount(i, np.concatenate(counts), len(k))
+        np.add.at(total, k // len(features), np.log1p(n) * weights[k % len(features)])
+        return 1 / (1 + np.exp(-np.clip(total, -30, 30)))
+
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
-            out = np.empty(batch.num_rows)
-            for block in blocks(batch.column(2)):
-                data, s, e, first = _words(block)
-                doc = np.repeat(np.arange(block.n), np.diff(first))
-                _, at, which = np.unique(hash_spans(data, s, e), return_index=True, return_inverse=True)
-                total = np.full(block.n, bias)
-                keys, counts = [], []
-                for rows, h in _kinds(data, s[at], e[at]):
-                    to = np.minimum(np.searchsorted(features, h), len(features) - 1)
-                    feature = np.full(len(at), -1)
-                    hit = features[to] == h
-                    feature[rows[hit]] = to[hit]
-                    f = feature[which]
-                    k, n = np.unique(doc[f >= 0] * len(features) + f[f >= 0], return_counts=True)
-                    keys.append(k)
-                    counts.append(n)
-                k, i = np.unique(np.concatenate(keys), return_inverse=True)
-                n = np.bincount(i, np.concatenate(counts), len(k))
-                np.add.at(total, k // len(features), np.log1p(n) * weights[k % len(features)])
-                out[block.first : block.first + block.n] = 1 / (1 + np.exp(-np.clip(total, -30, 30)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out), pa.array((out >= 0.5).astype(np.int32)), *batch.columns[3:]], names=["doc_id", "held_out", "score", "predicted", *batch.schema.names[3:]])
-
-    schema = f"doc_id {kinds['doc_id']}, held_out boolean, score double, predicted int"
-    scored = base.mapInArrow(run, ", ".join([schema, *(f"carry_{i} {kinds[f'carry_{i}']}" for i in range(len(carry)))]))
-    return scored.select("doc_id", "held_out", "score", "predicted", *(F.col(f"carry_{i}").alias(c) for i, c in enumerate(carry)))
+            for block in blocks(pc.fill_null(batch.column(2), ""), TEXT):
+                out, part = scores(block), batch.slice(block.first, block.n)
+                yield pa.RecordBatch.from_arrays([*part.columns[:3], pa.array(out), pa.array((out >= 0.5).astype(np.int32)), *part.columns[3:]], names=["doc_id", "held_out", "text", "score", "predicted", *names])
+
+    names = [f"carry_{i}" for i in range(len(carry))]
+    schema = f"doc_id {kinds['doc_id']}, held_out boolean, text string, score double, predicted int"
+    if carry:
+        return base.mapInArrow(run, ", ".join([schema, *(f"{c} {kinds[c]}" for c in names)]))
+
+    def narrow(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return (b.drop_columns(["text"]) for b in run(it))
+
+    return base.mapInArrow(narrow, schema.replace(" text string,", ""))
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose score is below 1/2."""
-    others = tuple(c for c in docs.columns if c != "doc_id")
-    return score(docs, fit(docs, labels), carry=others).where("predicted = 0").select(*docs.columns)
+    others = tuple(c for c in docs.columns if c != "text")
+    kept = _scored(docs, fit(docs, labels), "doc_id", "text", others).where("predicted = 0")
+    names = {c: f"carry_{i}" for i, c in enumerate(others)}
+    return kept.select(*(F.col(names.get(c, c)).alias(c) for c in docs.columns))
 
 
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
