@@ -8,7 +8,7 @@ import pyarrow as pa
 import sentencepiece
 from tokenizers import Tokenizer
 
-from tidemark.llm.packing import TierPacker, encoder, pack
+from tidemark.llm.packing import ChunkEncoder, TierPacker, encoder, pack
 from tidemark.llm.textkit import blocks, pack as squeeze, unpack
 from tidemark.llm.token_counts import count_tokens, counter
 
@@ -45,6 +45,16 @@ def test_ids_equal_the_tokenizer():
         assert got == [x.ids for x in full.encode_batch(texts, add_special_tokens=False)]
 
 
+def test_white_space_at_the_end_of_a_text_stays_with_it():
+    full = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    ends = ["", "\n", "\n\n", "\n\n\n", " ", "  ", "\t", "\r\n", " \n"]
+    texts = [t for a in ends for t in (f"foo bar{a}", "letters first", a, "baz", f"one two{a}", "", f"foo bar{a}{a}", " qux")]
+    e = ChunkEncoder("byte_bpe_50k")
+    for some in (texts, texts, texts[::-1]):  # again from memory, and with other neighbours
+        got = [x.tolist() for b in blocks(pa.array(some)) for x in e.block(b)]
+        assert got == [x.ids for x in full.encode_batch(some, add_special_tokens=False)]
+
+
 def test_pieces_cover_documents_and_windows(odd, none, plain):
     full = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     rows = pack(odd).collect()

@@ -53,7 +53,7 @@ class ChunkEncoder:
         data, known = block.data, self.known
         cut = SPACES[data]
         cut[:-1] &= ~MAY_SPACE[data[1:]]
-        cut[-1:] = False
+        cut[block.bounds[1:][np.diff(block.bounds) > 0] - 1] = False  # what follows the last byte is another text
         s, e, h, first = block.chunks(cut)
         keys, at, which = np.unique(h, return_index=True, return_inverse=True)
         names = keys.tolist()
