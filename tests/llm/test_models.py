@@ -43,6 +43,17 @@ def test_held_out_text_is_likelier_than_by_frequency(spark):
     assert {r["doc_id"]: round(r["score"], 4) for r in a} == {r["doc_id"]: round(r["score"], 4) for r in b}  # however rows are dealt
 
 
+def test_contexts_are_words_not_classes_of_words(spark):
+    """Words that end alike have followers of their own, which classes of endings can't tell apart."""
+    rng = random.Random(2)
+    stems = [f"{a}{b}" for a in "bcdfghklmn" for b in "aeiou"]
+    heads = [f"{x}en" for x in stems]
+    rows = [(i, " ".join(f"{h} {h[:-2]}us" for h in rng.choices(heads, k=40))) for i in range(400)]
+    got = [r for r in L.lm_scores(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect() if r["held_out"]]
+    # a head is one of 50, its follower is certain: about 0.85 a token
+    assert len(got) > 20 and sum(r["score"] for r in got) / sum(r["n_tokens"] for r in got) > -1.0
+
+
 def test_probabilities_sum_to_one():
     rng = np.random.default_rng(0)
     words = np.array([11, 22, 33, 44], np.uint64)
