@@ -39,6 +39,12 @@ def test_query_equals_its_oracle(spark, duck, name):
     assert rows(got.columns, got.collect()) == rows(names, want.fetchall())
 
 
+def test_the_chunked_query_sees_a_wrong_slice(spark, monkeypatch):
+    right = Q.B.slice_of
+    monkeypatch.setattr(Q.B, "slice_of", lambda *a, **k: right(*a, **k) & Q.F.lit(False))
+    assert sum(Q.QUERIES["chunked_equals_single"](spark, SF).first()) > 0
+
+
 def test_every_query_has_an_oracle():
     assert set(Q.QUERIES) == set(Q.ORACLE)
 

@@ -154,11 +154,12 @@ def chunk_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT CAST(0 AS BIGINT) AS only_left, CAST(0 AS BIGINT) AS only_right")
 def chunked_equals_single(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All slices replaced at once (a partition's slice depends on no other) against the single shot."""
+    """One slice replaced after the other, newest first as in the executor, against the single shot."""
     source, target, cut = _orders(spark, sf_dir)
-    known = B.partitions(source, target, "o_month", DAY, cut).select(F.col("value").alias("o_month"))
-    rest = B.survivors(target, cut.history()).unionByName(target.where(cut.history()).join(known, "o_month", "left_anti"))
-    chunked = rest.unionByName(B.backfill(source, target, cut.history()).join(known, "o_month", "left_semi").select(*target.columns))
+    values = B.partitions(source, target, "o_month", DAY, cut).select(F.col("value").cast("string"))
+    chunked = target
+    for value in [r[0] for r in values.collect()]:  # one a partition
+        chunked = B.replace_slice(source, chunked, "o_month", DAY, value, cut)
     return B.differences(chunked, B.migrated(source, target, cut))
 
 
