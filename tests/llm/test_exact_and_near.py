@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import time
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -111,6 +112,26 @@ def test_near_components_equal_brute_force(spark, monkeypatch, together):
     assert all(r["n_shingles"] == len(sets[r["doc_id"]]) and r["kept"] == (r["doc_id"] == r["component_id"]) for r in got)
 
 
+def test_near_tells_texts_apart_that_simple_hashes_confuse(spark):
+    bits = [bin(i).count("1") % 2 for i in range(2048)]
+    rows = [(10 * k + i, "".join((a, b)[x ^ i] for x in bits[:n])) for k, (a, b, n) in enumerate([("a", "b", 1024), ("e", "q", 1024), ("0", "x", 2048)]) for i in (0, 1)]
+    got = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len(got) == 6 and all(r["component_id"] == r["doc_id"] for r in got)
+
+
+def test_a_large_group_of_near_copies(spark):
+    """20,000 near copies of a text, and others that share a passage with them, in far less than a comparison of all pairs."""
+    rng = random.Random(9)
+    words = [f"w{i}" for i in range(5000)]
+    shared = rng.choices(words, k=60)
+    rows = [(i, " ".join([*shared, f"n{i}", *rng.choices(words, k=2)])) for i in range(20_000)]
+    rows += [(i, " ".join([*shared[:20], *rng.choices(words, k=60)])) for i in range(20_000, 21_000)]
+    began = time.perf_counter()
+    got = {r["doc_id"]: r["component_id"] for r in near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(8)).collect()}
+    assert all(got[i] == (0 if i < 20_000 else i) for i in got) and len(got) == 21_000
+    assert time.perf_counter() - began < 120
+
+
 def test_near_odd_rows(odd, none, plain):
     assert near_duplicates(none).count() == 0
     got = near_duplicates(odd).collect()

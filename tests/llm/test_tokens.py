@@ -5,9 +5,11 @@ from collections import defaultdict
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pytest
 import sentencepiece
 from tokenizers import Tokenizer
 
+from tidemark.llm import textkit
 from tidemark.llm.packing import ChunkEncoder, TierPacker, encoder, pack
 from tidemark.llm.textkit import blocks, pack as squeeze, unpack
 from tidemark.llm.token_counts import count_tokens, counter
@@ -15,6 +17,12 @@ from tidemark.llm.token_counts import count_tokens, counter
 AL = [*"ab  \n\t▁éßthe er in of　😀ﬁ<s></>0x10,.'\x00\x1c\x85", "the", "ing", "  ", "   ", "<0x0A>", "'s", "<|endoftext|>", "\xa0"]
 
 
+def twins(a, b, n):
+    """Two texts that polynomial hashes modulo 2**64 confuse: the Thue-Morse sequence over a and b, and its complement."""
+    bits = [bin(i).count("1") % 2 for i in range(n)]
+    return "".join((a, b)[x] for x in bits), "".join((b, a)[x] for x in bits)
+
+
 def samples(n=1500):
     rng = random.Random(2)
     return ["".join(rng.choices(AL, k=rng.randint(0, 30))) for _ in range(n)] + ["a" * 3000, " " * 300, "", "ab" * 1000]
@@ -45,6 +53,29 @@ def test_ids_equal_the_tokenizer():
         assert got == [x.ids for x in full.encode_batch(texts, add_special_tokens=False)]
 
 
+@pytest.mark.parametrize("n", [512, 1024, 2048])
+def test_texts_that_simple_hashes_confuse_are_told_apart(n):
+    texts = [x for a, b in ("ab", "th", "in", "eq", "0x") for x in twins(a, b, n)]
+    full = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    model = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    e, c = ChunkEncoder("byte_bpe_50k"), counter("piece_bpe_32k.model")
+    assert [x.tolist() for b in blocks(pa.array(texts)) for x in e.block(b)] == [x.ids for x in full.encode_batch(texts, add_special_tokens=False)]
+    assert np.concatenate([c.block(b) for b in blocks(pa.array(texts))]).tolist() == [len(x) for x in model.encode(texts)]
+
+
+def test_contents_decide_where_hashes_meet(monkeypatch):
+    rng = random.Random(7)
+    words = ["".join(rng.choices("abc", k=rng.randint(1, 90))) for _ in range(300)]
+    data, ends = np.frombuffer("".join(words).encode(), np.uint8), np.cumsum([len(w) for w in words])
+    starts = ends - [len(w) for w in words]
+    assert len(set(textkit.hash_spans(data, starts, ends).tolist())) == len(set(words))
+    for poor in (None, lambda d, s, e, seed=0: (e - s).astype(np.uint64) % np.uint64(3)):
+        if poor:
+            monkeypatch.setattr(textkit, "hash_spans", poor)
+        at, which = textkit.distinct(data, starts, ends)
+        assert [words[at[k]] for k in which] == words and len(at) == len(set(words))
+
+
 def test_white_space_at_the_end_of_a_text_stays_with_it():
     full = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     ends = ["", "\n", "\n\n", "\n\n\n", " ", "  ", "\t", "\r\n", " \n"]

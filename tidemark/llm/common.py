@@ -14,19 +14,26 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share; a local one only where the session names none."""
+    """The folder that all executors share; a folder of this machine only where the session names none and runs here alone."""
     got = spark.conf.get("spark.checkpoint.dir", None)
     if not got:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         got = "file://" + tempfile.mkdtemp(prefix="tidemark-")
         spark.conf.set("spark.checkpoint.dir", got)
     return got.rstrip("/")
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: cuts lineage and survives lost executors."""
+    """Write ``df`` to the shared folder and read it back: cuts lineage and survives lost executors.
+
+    The files are deleted by ``discard`` or ``clear``, and at the latest when the driver's JVM ends.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/tidemark/{name}-{uuid.uuid4().hex}"
+    file = spark._jvm.org.apache.hadoop.fs.Path(path)
     df.write.parquet(path)
+    file.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(file)
     back = spark.read.schema(df.schema).parquet(path)
     back._tidemark_path = path
     return back
@@ -45,6 +52,31 @@ def discard(*frames: DataFrame) -> None:
         path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name like ``name`` that ``df`` doesn't have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
+def join_classes(rows: DataFrame, classes: DataFrame, keys: list[str], size: str, total: int, spread: Column | None = None) -> DataFrame:
+    """Left join of ``rows`` (with an ``id``) with their classes, one a key, when a class may hold a third of all rows.
+
+    Classes of more than total / 100,000 rows (and more than 4096), of which there are fewer than
+    100,000, are broadcast; their rows, and those that ``spread`` marks as without a class, go to
+    partitions of their own ids for the other join.
+    """
+    others = [c for c in classes.columns if c not in keys]
+    limit = max(4096, total // 100_000)
+    large = F.broadcast(classes.where(F.col(size) > limit).select(*keys, *(F.col(c).alias(f"large_{c}") for c in others)))
+    alone = F.col(f"large_{size}").isNotNull() | (F.lit(False) if spread is None else spread)
+    rows = rows.join(large, keys, "left").withColumn("deal", F.when(alone, F.xxhash64("id", F.spark_partition_id())).otherwise(F.lit(0)))
+    small = classes.where(F.col(size) <= limit).withColumn("deal", F.lit(0).cast("long"))
+    out = rows.join(small, [*keys, "deal"], "left")
+    return out.select(*keys, *(c for c in rows.columns if c not in keys and c != "deal" and not c.startswith("large_")), *(F.coalesce(f"large_{c}", c).alias(c) for c in others))
+
+
 def _bytes(setting: str) -> int:
     """A number that may have one of Spark's size suffixes."""
     found = re.fullmatch(r"(-?\d+)([kmgt]?)b?", setting.lower())
@@ -77,8 +109,9 @@ def hash_buckets(u: Column, n: int) -> Column:
 
 
 def order_hash(seed: int, *columns: str) -> Column:
-    """A seeded hash in [0, 2**63) for shuffled orders."""
-    return F.shiftrightunsigned(F.xxhash64(F.lit(seed), *columns), 1)
+    """A seeded hash in [0, 2**63) for shuffled orders: the first 15 hexadecimal digits of an MD5, 60 bits, above 3 zeros."""
+    text = F.concat_ws("/", F.lit(str(seed)), *(F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns))
+    return F.shiftleft(F.conv(F.substring(F.md5(text.cast("binary")), 1, 15), 16, 10).cast("long"), 3)
 
 
 def bucket_count(rows: int, per_bucket: int = 256, most: int = 65536) -> int:

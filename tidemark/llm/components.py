@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import discard, materialize
 
 
+HUB = 4096  #: edges of a node that one task takes in any case
+
+
 class UnionFind:
     """Sets of 0..n-1; a set's root is its least member."""
 
@@ -62,26 +65,41 @@ def contract(edges: DataFrame, batch: int = 1 << 18) -> DataFrame:
     return edges.select("u", "v").mapInArrow(run, "u long, v long")
 
 
+def _join_least(edges: DataFrame, least: DataFrame, rows: int) -> DataFrame:
+    """Edges (u, v) with the m of their u. A hub's edges are dealt to parts, each with a copy of its m.
+
+    A hub has more than rows / 1,000,000 edges (and more than HUB), so there are at most 1,000,000
+    hubs: their names and numbers of parts, 12 bytes each, are broadcast.
+    """
+    limit = max(HUB, rows // 1_000_000)
+    least = least.withColumn("parts", F.ceil(F.col("degree") / limit).cast("int")).drop("degree")
+    hubs = F.broadcast(least.where("parts > 1").select("u", "parts"))
+    dealt = edges.join(hubs, "u", "left").withColumn("part", F.coalesce(F.pmod(F.xxhash64("v"), F.col("parts")), F.lit(0)).cast("int")).drop("parts")
+    copies = least.withColumn("part", F.explode(F.sequence(F.lit(0), F.greatest(F.col("parts"), F.lit(1)) - 1))).drop("parts")
+    return dealt.join(copies, ["u", "part"]).drop("part")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(id, component) of the nodes of ``edges`` (u, v: long), component being the least id reachable.
 
     Large and small stars alternate until nothing changes; each round is written to the shared
-    folder. Nodes are grouped with partial minima, so a hub costs a task no more than others.
-    Loops and repeated edges do no harm; edges with nulls are left out; no edges give no rows.
+    folder. Minima are pre-aggregated, and a hub's edges are dealt to several tasks for the join
+    with its minimum. Loops and repeated edges do no harm; edges with nulls are left out; no edges
+    give no rows.
     """
     now = materialize(contract(edges.where("u is not null and v is not null and u <> v")), "stars")
     mark = None
     while True:
+        seen = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+        if mark == seen or not seen[0]:
+            return now.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(now.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct())
+        mark, rows = seen, 2 * seen[0]
         both = now.select("u", "v").unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        least = both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("degree")).withColumn("m", F.least("u", "m"))
+        large = _join_least(both.where("v > u"), least, rows).select(F.col("v").alias("u"), F.col("m").alias("v"))
         down = large.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v").distinct()
-        low = down.groupBy("u").agg(F.min("v").alias("m"))
-        small = down.join(low, "u").select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))).alias("e")).select("e.*").where("u <> v").distinct()
+        low = down.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("degree"))
+        small = _join_least(down, low, rows).select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))).alias("e")).select("e.*").where("u <> v").distinct()
         new = materialize(small, "stars")
         discard(now)
         now = new
-        seen = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if mark == seen:
-            return now.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(now.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct())
-        mark = seen

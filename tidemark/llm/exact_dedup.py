@@ -15,7 +15,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import lean, materialize, text_of
+from tidemark.llm.common import fresh, join_classes, lean, materialize, text_of
 
 FAN_OUT = 16  #: spill files a level
 LEVELS = 14  #: levels that the 64 bits of a hash serve, after the bits that dealt the bucket out
@@ -151,29 +151,37 @@ def exact_dedup(docs: DataFrame, memory: int = 96 << 20, id_col: str = "doc_id",
         records = (r for b in it for r in zip(*(c.to_pylist() for c in b.columns), strict=True))
         for table in grace(records, memory):
             found: dict[tuple[bytes, int], bytes] = {}
+            several: list[tuple] = []
             for _, content, n, keep in table.records():
                 key = (hashlib.sha256(content).digest(), len(content))
                 if found.setdefault(key, content) is not content:
                     raise ValueError("two contents share a SHA-256 and a length")
                 if n > 1:
-                    yield pa.RecordBatch.from_arrays([pa.array([key[0]], pa.binary()), pa.array([key[1]], pa.int64()), pa.array([keep], pa.int64()), pa.array([n], pa.int64())], schema=_CLASSES)
+                    several.append((*key, keep, n))
+            for i in range(0, len(several), 4096):
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*several[i : i + 4096], strict=True), _CLASSES, strict=True)], schema=_CLASSES)
 
     groups = batches.mapInArrow(heads, "h long, content binary, n long, keep_id long").repartition("h").mapInArrow(classes, "sha binary, n_bytes long, keep_id long, group_size long")
     rows = batches.select("id", F.unhex(F.sha2(F.col("text"), 256)).alias("sha"), F.octet_length("text").cast("long").alias("n_bytes")).groupBy("id", "sha", "n_bytes").agg(F.count("*").alias("times"))
-    joined = rows.join(groups, ["sha", "n_bytes"], "left").withColumn("group_size", F.coalesce("group_size", F.lit(1))).withColumn("keep_id", F.when(F.col("group_size") == 1, F.col("id")).otherwise(F.col("keep_id")))
+    groups = materialize(groups, "groups")
+    joined = join_classes(rows, groups, ["sha", "n_bytes"], "group_size", docs.count()).withColumn("group_size", F.coalesce("group_size", F.lit(1))).withColumn("keep_id", F.when(F.col("group_size") == 1, F.col("id")).otherwise(F.col("keep_id")))
     each = joined.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("times"))))
     kept = F.col("id").eqNullSafe(F.col("keep_id")) & (F.col("copy") == 1)
     return each.select(F.col("id").alias("doc_id"), "keep_id", "group_size", kept.alias("kept"), F.lower(F.hex("sha")).alias("text_sha256"))
 
 
 def without_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that ``exact_dedup`` keeps."""
+    """The rows of ``docs`` that ``exact_dedup`` keeps, with all their columns.
+
+    A null text counts as empty; of rows that repeat both id and text one stays, whichever.
+    """
     found = materialize(exact_dedup(docs, id_col=id_col, text_col=text_col).select("doc_id", "text_sha256", "kept"), "exact")
     each = found.groupBy("doc_id", "text_sha256").agg(F.max("kept").alias("any"), F.count("*").alias("n"))
-    gone = each.where("not any").select(F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__sha"))
-    out = docs.join(gone, docs[id_col].cast("long").eqNullSafe(F.col("__id")) & (F.sha2(text_of(text_col), 256) == F.col("__sha")), "left_anti")
+    own, sha, text = (fresh(docs, c) for c in ("gone_id", "gone_sha", "whole_text"))
+    gone = each.where("not any").select(F.col("doc_id").alias(own), F.col("text_sha256").alias(sha))
+    out = docs.join(gone, docs[id_col].cast("long").eqNullSafe(F.col(own)) & (F.sha2(text_of(text_col), 256) == F.col(sha)), "left_anti")
     if not each.where("any and n > 1").isEmpty():  # rows that repeat id and text
-        out = out.withColumn("__text", text_of(text_col)).dropDuplicates([id_col, "__text"]).drop("__text")
+        out = out.withColumn(text, text_of(text_col)).dropDuplicates([id_col, text]).drop(text)
     return out
 
 

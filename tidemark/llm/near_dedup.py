@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import discard, lean, materialize, text_of
-from tidemark.llm.components import UnionFind, components
-from tidemark.llm.textkit import Block, blocks, mix, spread
+from tidemark.llm.common import discard, fresh, join_classes, lean, materialize, text_of
+from tidemark.llm.components import components
+from tidemark.llm.textkit import LOWER, Block, blocks, hash_spans, mix, spread
 
 SHINGLE = 5
 M = 128  #: registers
@@ -26,23 +26,34 @@ TOGETHER = 2048  #: documents compared with each other in one task
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 
 
-def shingles(block: Block) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct hashes of 5-word shingles (or of all words, if fewer) by text: (hashes, n + 1 bounds)."""
-    _, _, w, first = block.words()
+def shingles(block: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct 5-word shingles (or all words as one, if fewer) by text: two independent 64-bit hashes of each, n + 1 bounds.
+
+    A shingle is both its hashes: two different ones agree in both with odds of 2**-128.
+    """
+    s, e, first = block.words()
     count = np.diff(first)
     n = np.where(count >= SHINGLE, count - SHINGLE + 1, np.minimum(count, 1))
     start = np.repeat(first[:-1], n) + spread(n)
     size = np.repeat(np.minimum(count, SHINGLE), n)
-    h = mix(size.astype(np.uint64) * _GOLD)
-    padded = np.append(w, np.zeros(SHINGLE, np.uint64))
-    for j in range(SHINGLE):
-        h = np.where(j < size, mix(h * np.uint64(0xD1342543DE82EF95) + padded[start + j]), h)
+    data = LOWER[block.data]
+
+    def chain(seed: int) -> np.ndarray:
+        h = mix(size.astype(np.uint64) * _GOLD + np.uint64(seed))
+        padded = np.append(hash_spans(data, s, e, seed), np.zeros(SHINGLE, np.uint64))
+        for j in range(SHINGLE):
+            h = np.where(j < size, mix(h * np.uint64(0xD1342543DE82EF95) + padded[start + j]), h)
+        return h
+
+    one, two = chain(0), chain(1)
     doc = np.repeat(np.arange(block.n), n)
-    order = np.lexsort((h, doc))
-    doc, h = doc[order], h[order]
-    new = np.ones(len(h), bool)
-    new[1:] = (doc[1:] != doc[:-1]) | (h[1:] != h[:-1])
-    return h[new], np.searchsorted(doc[new], np.arange(block.n + 1))
+    order = np.lexsort((one, doc))
+    if len(order) and ((doc[order][1:] == doc[order][:-1]) & (one[order][1:] == one[order][:-1]) & (two[order][1:] != two[order][:-1])).any():
+        order = np.lexsort((two, one, doc))
+    doc, one, two = doc[order], one[order], two[order]
+    new = np.ones(len(one), bool)
+    new[1:] = (doc[1:] != doc[:-1]) | (one[1:] != one[:-1]) | (two[1:] != two[:-1])
+    return one[new], two[new], np.searchsorted(doc[new], np.arange(block.n + 1))
 
 
 def sketch(hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
@@ -94,53 +105,95 @@ def likely(one: np.ndarray, n_one: int, many: np.ndarray, n_many: np.ndarray, j:
     return (slope >= 0) & (OF * np.minimum(n_one, n_many) >= NUMBER * np.maximum(n_one, n_many))
 
 
-def candidate_forest(n: np.ndarray, registers: np.ndarray, side: np.ndarray) -> list[tuple[int, int]]:
-    """A spanning forest of the pairs that may be linked; with two sides, of pairs across."""
-    sets, out = UnionFind(len(n)), []
+def forest(label: np.ndarray, side: np.ndarray, linked: Callable[[int, np.ndarray], np.ndarray]) -> list[tuple[int, int]]:
+    """A spanning forest of the pairs that ``linked(i, others)`` confirms, over rows that are connected where labels agree.
+
+    Pairs that are connected already are never compared. With two sides, only pairs across are.
+    ``label`` is brought up to date.
+    """
+    out = []
     two = side.any() and not side.all()
-    for i in range(len(n) - 1):
-        rest = np.arange(i + 1, len(n))
+    for i in range(len(label) - 1):
+        rest = np.flatnonzero(label[i + 1 :] != label[i]) + i + 1
         if two:
             rest = rest[side[rest] != side[i]]
-        for k in rest[likely(registers[i], n[i], registers[rest], n[rest], DOUBT)].tolist():
-            if sets.join(i, k):
+        for k in (linked(i, rest) if len(rest) else rest).tolist():
+            if label[k] != label[i]:
+                label[label == label[k]] = label[i]
                 out.append((i, k))
     return out
 
 
-def verified_links(n: np.ndarray, registers: np.ndarray, sets: list[np.ndarray], side: np.ndarray) -> list[tuple[int, int]]:
-    """A spanning forest of the links, confirmed on full sets; likely pairs first, none that is connected already."""
-    found, out = UnionFind(len(n)), []
-    two = side.any() and not side.all()
-    for level in (SURE, DOUBT):
-        for i in range(len(n) - 1):
-            root = found.root(i)
-            rest = np.array([k for k in range(i + 1, len(n)) if found.root(k) != root and not (two and side[k] == side[i])], np.int64)
-            if len(rest):
-                rest = rest[likely(registers[i], n[i], registers[rest], n[rest], level)]
-            if len(rest):
-                size = n[rest]
-                flat = np.concatenate([sets[k] for k in rest])
-                at = np.minimum(np.searchsorted(sets[i], flat), len(sets[i]) - 1)
-                both = np.add.reduceat((sets[i][at] == flat).astype(np.int64), np.cumsum(size) - size)
-                for k in rest[OF * both >= NUMBER * (n[i] + size - both)].tolist():
-                    if found.join(i, k):
-                        out.append((i, k))
-    return out
+def candidate_forest(n: np.ndarray, registers: np.ndarray, label: np.ndarray, side: np.ndarray) -> list[tuple[int, int]]:
+    """A spanning forest of the pairs that may be linked."""
+    return forest(label, side, lambda i, rest: rest[likely(registers[i], n[i], registers[rest], n[rest], DOUBT)])
 
 
-def _in_blocks(rows: DataFrame, key: str, count: str, id_col: str) -> DataFrame:
-    """Adds lo, hi and side: groups of at most about TOGETHER rows stay whole; of larger ones each pair of blocks is a group."""
-    parts = F.ceil(F.col(count) / TOGETHER).cast("int")
-    rows = rows.withColumn("own", F.pmod(F.xxhash64(F.lit(3), id_col), parts).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
-    return rows.withColumn("lo", F.least("own", "other")).withColumn("hi", F.greatest("own", "other")).withColumn("side", F.col("own") == F.col("hi"))
+def verified_links(n: np.ndarray, registers: np.ndarray, sets: list[np.ndarray], label: np.ndarray, side: np.ndarray) -> list[tuple[int, int]]:
+    """A spanning forest of the links, confirmed on full sets (2 x n hashes each); likely pairs first."""
 
+    def confirmed(i: int, rest: np.ndarray, level: float) -> np.ndarray:
+        rest = rest[likely(registers[i], n[i], registers[rest], n[rest], level)]
+        if not len(rest):
+            return rest
+        size = n[rest]
+        flat = np.concatenate([sets[k] for k in rest], 1)
+        at = np.minimum(np.searchsorted(sets[i][0], flat[0]), n[i] - 1)
+        both = np.add.reduceat((sets[i][:, at] == flat).all(0).astype(np.int64), np.cumsum(size) - size)
+        return rest[OF * both >= NUMBER * (n[i] + size - both)]
 
-def _linked(table: pa.Table, pairs: list[tuple[int, int]], ids: np.ndarray) -> pa.Table:
+    return [pair for level in (SURE, DOUBT) for pair in forest(label, side, lambda i, rest: confirmed(i, rest, level))]
+
+
+def _linked(pairs: list[tuple[int, int]], ids: np.ndarray) -> pa.Table:
     a = np.array(pairs, np.int64).reshape(-1, 2)
     return pa.table({"u": pa.array(ids[a[:, 0]]), "v": pa.array(ids[a[:, 1]])})
 
 
+def connect(groups: DataFrame, payload: Callable[[DataFrame], DataFrame], compare: Callable[[pa.Table], pa.Table]) -> DataFrame:
+    """(id, component): what ``compare`` connects inside each group of ``groups`` (key, c: rows of the key, id).
+
+    ``payload(ids)`` gives id and what ``compare`` needs of it. Groups of at most TOGETHER rows are
+    compared at once. Larger ones are dealt to blocks, by other hashes in each group. Then the least
+    members of what is connected so far are compared, as long as that connects more; and only where
+    a large group is still in several pieces, every two blocks of it, leaving out pairs connected
+    already. So a large group of like documents costs one block a row, and no pair is lost.
+    """
+
+    def links(rows: DataFrame) -> DataFrame:
+        each = rows.join(payload(rows.select("id").distinct()), "id")
+        return each.groupBy("key", "lo", "hi").applyInArrow(compare, "u long, v long")
+
+    def dealt(rows: DataFrame, count: str, salt: int) -> DataFrame:
+        own = F.pmod(F.xxhash64(F.lit(salt), "key", "id"), F.ceil(F.col(count) / TOGETHER)).cast("int")
+        return rows.select("key", "id", "label", own.alias("lo"), own.alias("hi"), F.lit(True).alias("side"))
+
+    found = materialize(components(links(dealt(groups.withColumn("label", F.col("id")), "c", 3))), "connected")
+    large = groups.where(F.col("c") > TOGETHER)
+    if large.isEmpty():
+        return found
+    edges = lambda: found.select(F.col("id").alias("u"), F.col("component").alias("v")).where("u <> v")
+    pieces = lambda: large.join(found, "id", "left").withColumn("label", F.coalesce("component", "id"))
+
+    def several(rows: DataFrame) -> DataFrame:
+        return rows.join(rows.groupBy("key").agg(F.count_distinct("label").alias("pieces")).where("pieces > 1"), "key")
+
+    salt, before = 4, -1
+    while True:
+        heads = several(pieces().groupBy("key", "label").agg(F.min("id").alias("id")))
+        left = heads.agg(F.count("*")).first()[0]
+        if left in (0, before):
+            break
+        found = materialize(components(links(dealt(heads, "pieces", salt)).unionByName(edges())), "connected")
+        salt, before = salt + 1, left
+    if left:
+        parts = F.ceil(F.col("c") / TOGETHER).cast("int")
+        rows = several(pieces()).withColumn("own", F.pmod(F.xxhash64(F.lit(salt), "key", "id"), parts).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
+        rows = rows.select("key", "id", "label", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), (F.col("own") <= F.col("other")).alias("side"))
+        found = materialize(components(links(rows).unionByName(edges())), "connected")
+    return found
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id and kept (the component's least id) of each row.
 
@@ -148,8 +201,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     and banded; buckets that hold the same documents are taken once. In each bucket a spanning
     forest of the pairs with a likely estimate is emitted, never all pairs; its components are the
     only places where links can be. There pairs are verified on full sets, except between documents
-    that are connected already, and again only a forest of links leaves the task. Groups of more
-    than TOGETHER documents are compared in pairs of blocks.
+    that are connected already, and again only a forest of links leaves the task (``connect``). A
+    full set is the two independent 64-bit hashes of every shingle: links and classes are wrong only
+    if different shingles agree in both (2**-128 a pair).
 
     Null and empty texts have no shingles and are linked with nothing. A null id has no component
     and is kept. Ids are taken to be unique; rows that share one count as linked. An empty table
@@ -160,9 +214,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     def prepare(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
             for block in blocks(batch.column(1), TEXT):
-                h, bounds = shingles(block)
+                h, g, bounds = shingles(block)
                 n = np.diff(bounds)
-                s1, s2 = (np.concatenate([[0], np.cumsum(mix(h + c), dtype=np.uint64)]).astype(np.uint64) for c in (np.uint64(1), _GOLD))
+                s1, s2 = (np.concatenate([[0], np.cumsum(mix(x + _GOLD), dtype=np.uint64)]).astype(np.uint64) for x in (h, g))
                 s1, s2 = (s[bounds[1:]] - s[bounds[:-1]] for s in (s1, s2))
                 _, first, again = np.unique(np.stack([s1, s2], 1), axis=0, return_index=True, return_inverse=True)
                 own = np.sort(first)
@@ -176,7 +230,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 )
 
     rows = materialize(base.mapInArrow(prepare, "doc_id long, n long, s1 long, s2 long, registers binary"), "sketches")
-    classes = rows.where("n > 0 and doc_id is not null").groupBy("s1", "s2", "n").agg(F.min("doc_id").alias("rep"))
+    classes = rows.where("n > 0 and doc_id is not null").groupBy("s1", "s2", "n").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"))
     ids = classes.select(F.col("rep").alias("id"))
     nodes = materialize(rows.where("n > 0").select(F.col("doc_id").alias("id"), "n", "registers").join(ids, "id", "left_semi").dropDuplicates(["id"]), "nodes")
 
@@ -191,48 +245,49 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     bands = nodes.select("id", "registers").mapInArrow(band, "key long, id long")
     shared = bands.groupBy("key").agg(F.count("*").alias("c"), F.sum(F.xxhash64("id").cast("decimal(38,0)")).alias("s")).where("c > 1")
     shared = shared.groupBy("c", "s").agg(F.min("key").alias("key"))
-    members = _in_blocks(bands.join(shared.select("key", "c"), "key"), "key", "c", "id").select("key", "lo", "hi", "side", "id").join(nodes, "id")
+    buckets = materialize(bands.join(shared.select("key", "c"), "key"), "buckets")
 
-    def parse(t: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    def parse(t: pa.Table) -> tuple[np.ndarray, ...]:
         registers = np.frombuffer(b"".join(t["registers"].to_pylist()), np.uint16).reshape(-1, M)
-        return t["id"].to_numpy(), t["n"].to_numpy(), registers, t["side"].to_numpy()
+        return t["id"].to_numpy(), t["n"].to_numpy(), registers, np.unique(t["label"].to_numpy(), return_inverse=True)[1], t["side"].to_numpy()
 
     def guess(t: pa.Table) -> pa.Table:
-        own, n, registers, side = parse(t)
-        return _linked(t, candidate_forest(n, registers, side), own)
+        own, n, registers, label, side = parse(t)
+        return _linked(candidate_forest(n, registers, label, side), own)
 
-    maybe = components(members.groupBy("key", "lo", "hi").applyInArrow(guess, "u long, v long"))
-    sizes = maybe.groupBy("component").agg(F.count("*").alias("c"))
-    places = materialize(maybe.join(sizes, "component"), "places")
+    maybe = connect(buckets, lambda _: nodes, guess)
+    places = materialize(maybe.join(maybe.groupBy("component").agg(F.count("*").alias("c")), "component").withColumnRenamed("component", "key"), "places")
 
     def full(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
             for block in blocks(batch.column(1), TEXT):
-                h, bounds = shingles(block)
-                raw = h.tobytes()
-                yield pa.RecordBatch.from_arrays([batch.column(0)[block.first : block.first + block.n], pa.array([raw[8 * a : 8 * b] for a, b in zip(bounds, bounds[1:], strict=False)], pa.binary())], names=["id", "members"])
+                h, g, bounds = shingles(block)
+                members = [h[a:b].tobytes() + g[a:b].tobytes() for a, b in zip(bounds, bounds[1:], strict=False)]
+                yield pa.RecordBatch.from_arrays([batch.column(0)[block.first : block.first + block.n], pa.array(members, pa.binary())], names=["id", "members"])
 
-    sets = base.join(places.select(F.col("id").alias("doc_id")), "doc_id", "left_semi").mapInArrow(full, "id long, members binary").dropDuplicates(["id"])
+    def with_sets(ids: DataFrame) -> DataFrame:
+        sets = base.join(ids.select(F.col("id").alias("doc_id")), "doc_id", "left_semi").mapInArrow(full, "id long, members binary").dropDuplicates(["id"])
+        return nodes.join(sets, "id")
 
     def verify(t: pa.Table) -> pa.Table:
-        own, n, registers, side = parse(t)
-        return _linked(t, verified_links(n, registers, [np.frombuffer(m, np.uint64) for m in t["members"].to_pylist()], side), own)
+        own, n, registers, label, side = parse(t)
+        return _linked(verified_links(n, registers, [np.frombuffer(m, np.uint64).reshape(2, -1) for m in t["members"].to_pylist()], label, side), own)
 
-    tasks = _in_blocks(places, "component", "c", "id").select("component", "lo", "hi", "side", "id").join(nodes.join(sets, "id"), "id")
-    links = tasks.groupBy("component", "lo", "hi").applyInArrow(verify, "u long, v long")
-    found = materialize(components(links), "components")
-    discard(nodes, places)
+    found = connect(places, with_sets, verify)
+    discard(nodes, places, buckets)
 
-    groups = classes.join(found.withColumnRenamed("id", "rep"), "rep", "left").select("s1", "s2", "n", F.coalesce("component", "rep").alias("component_id"))
-    out = rows.drop("registers").join(groups, ["s1", "s2", "n"], "left")
-    component = F.when(F.col("n") == 0, F.col("doc_id")).when(F.col("doc_id").isNotNull(), F.col("component_id"))
-    return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+    groups = classes.join(found.withColumnRenamed("id", "rep"), "rep", "left").select("s1", "s2", "n", "copies", F.coalesce("component", "rep").alias("component_id"))
+    own = rows.select(F.col("doc_id").alias("id"), "s1", "s2", "n")
+    out = join_classes(own, groups, ["s1", "s2", "n"], "copies", rows.count(), F.col("n") == 0)
+    component = F.when(F.col("n") == 0, F.col("id")).when(F.col("id").isNotNull(), F.col("component_id"))
+    return out.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"))
 
 
 def without_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that ``near_duplicates`` keeps: the least id of each component, and all that are linked with nothing."""
-    gone = materialize(near_duplicates(docs, id_col, text_col).where("not kept").select(F.col("doc_id").alias("__id")), "near")
-    return docs.join(gone, docs[id_col].cast("long") == F.col("__id"), "left_anti")
+    own = fresh(docs, "gone_id")
+    gone = materialize(near_duplicates(docs, id_col, text_col).where("not kept").select(F.col("doc_id").alias(own)), "near")
+    return docs.join(gone, docs[id_col].cast("long") == F.col(own), "left_anti")
 
 
 def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -18,11 +18,12 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tidemark.llm.common import lean, text_of
-from tidemark.llm.textkit import MAY_SPACE, SPACES, Block, blocks, spread
+from tidemark.llm.textkit import MAY_SPACE, SPACES, Block, blocks, distinct, spread
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, tier int, step_group long, ids binary"
 _PIECES = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64()), ("tier", pa.int32()), ("step_group", pa.int64()), ("ids", pa.binary())])
 
+REMEMBERED = 256  #: bytes of the longest chunk that is remembered between blocks
 _ENCODERS: dict[str, ChunkEncoder] = {}
 
 
@@ -31,7 +32,7 @@ class ChunkEncoder:
 
     The split pattern of this vocabulary never joins the last of some white-space characters with
     what precedes it, so a text can be cut there into chunks that are encoded alone; each distinct
-    chunk of a block is encoded once (chunks are told apart by 64-bit hashes). The rank file holds
+    chunk of a block is encoded once; blocks and the memory tell chunks apart by their bytes. The rank file holds
     the same vocabulary as the tokenizer file and is much the faster; texts with the tokenizer's
     special strings go through the tokenizer itself.
     """
@@ -46,7 +47,11 @@ class ChunkEncoder:
         self.full = Tokenizer.from_file(path(f"{name}.json"))
         self.special = [t.content.encode() for t in self.full.get_added_tokens_decoder().values()]
         self.most = most
-        self.known: dict[int, bytes] = {}
+        self.known: dict[bytes, bytes] = {}
+
+    def remember(self, chunk: bytes, ids: bytes) -> None:
+        if len(chunk) <= REMEMBERED:
+            self.known[chunk] = ids
 
     def block(self, block: Block) -> Iterator[np.ndarray]:
         """The ids of each text of a block."""
@@ -54,20 +59,21 @@ class ChunkEncoder:
         cut = SPACES[data]
         cut[:-1] &= ~MAY_SPACE[data[1:]]
         cut[block.bounds[1:][np.diff(block.bounds) > 0] - 1] = False  # what follows the last byte is another text
-        s, e, h, first = block.chunks(cut)
-        keys, at, which = np.unique(h, return_index=True, return_inverse=True)
-        names = keys.tolist()
+        s, e, first = block.chunks(cut)
+        at, which = distinct(data, s, e)
+        raw = data.tobytes()
+        names = [raw[a:b] for a, b in zip(s[at].tolist(), e[at].tolist(), strict=True)]
         ids = [known.get(k) for k in names]
         if len(known) + len(ids) > self.most:
             known.clear()
-        raw = data.tobytes()
         new = [i for i, x in enumerate(ids) if x is None]
         if new:
             a = s[at[new]]
             alone = ~cut[a]  # a text's first chunk can't follow another
             for i in np.flatnonzero(alone).tolist():
                 x = new[i]
-                ids[x] = known[names[x]] = array("I", self.encode(raw[a[i] : e[at[x]]].decode())).tobytes()
+                ids[x] = array("I", self.encode(names[x].decode())).tobytes()
+                self.remember(names[x], ids[x])
             new = [x for x, first in zip(new, alone.tolist(), strict=True) if not first]
             spans = list(zip(s[at[new]].tolist(), e[at[new]].tolist(), strict=True))
             got = np.array(self.encode(b"".join([raw[a:b] for a, b in spans]).decode()), "<u4")
@@ -75,7 +81,8 @@ class ChunkEncoder:
             split = np.searchsorted(np.concatenate([[0], np.cumsum(self.bytes_of[got])]), upto).tolist() if len(got) else [0] * len(upto)
             flat = got.tobytes()
             for k, x in enumerate(new):
-                ids[x] = known[names[x]] = flat[4 * split[k] : 4 * split[k + 1]]
+                ids[x] = flat[4 * split[k] : 4 * split[k + 1]]
+                self.remember(names[x], ids[x])
         sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
         table, base = np.frombuffer(b"".join(ids), "<u4"), np.cumsum(sizes) - sizes
         count = sizes[which]

@@ -8,12 +8,12 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 import zstandard
 
-WINDOW = 1 << 20  #: bytes that share one table of powers
+LANES = 8  #: 8-byte lanes of a span that are hashed together with other spans; longer spans are hashed one by one
 BLOCK = 4 << 20  #: bytes of text hashed at once; a longer text is a block of its own
 
-_BASE = 0x9E3779B97F4A7C15 | 1
 SPACES = np.zeros(256, bool)  #: \x20 and \x09-\x0D
 SPACES[[0x20, *range(0x09, 0x0E)]] = True
 #: Bytes that are, or may begin, a white-space character.
@@ -21,19 +21,8 @@ MAY_SPACE = SPACES.copy()
 MAY_SPACE[[0xC2, 0xE1, 0xE2, 0xE3, *range(0x1C, 0x20)]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[0x41:0x5B] += 32
-_VALUES = np.random.default_rng(20240229).integers(1, 2**63, 256).astype(np.uint64) * np.uint64(2) + np.uint64(1)
-
-
-@cache
-def _powers(bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and of its inverse modulo 2**64, for texts of up to 2**bits bytes."""
-    n = 1 << bits
-    out = []
-    for base in (_BASE, pow(_BASE, -1, 2**64)):
-        p = np.full(n + 1, base, np.uint64)
-        p[0] = 1
-        out.append(np.cumprod(p, dtype=np.uint64))
-    return out[0], out[1]
+_MASKS = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)  #: keeps the first k bytes of a lane
+_STEP = np.uint64(0xD6E8FEB86659FD93)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -45,27 +34,59 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hashes of the byte strings data[start:end]."""
+class _Lanes:
+    """Reads spans of bytes 8 at a time, zero behind their ends."""
+
+    def __init__(self, data: np.ndarray) -> None:
+        padded = np.concatenate([data, np.zeros(8, np.uint8)])
+        self.at = np.lib.stride_tricks.as_strided(padded, (len(data) + 1, 8), (1, 1))
+
+    def read(self, starts: np.ndarray, size: np.ndarray, j: int) -> np.ndarray:
+        return self.at[starts + 8 * j].view(np.uint64).reshape(-1) & _MASKS[np.minimum(size - 8 * j, 8)]
+
+
+def hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 0) -> np.ndarray:
+    """64-bit hashes of the byte strings data[start:end].
+
+    Every 8 bytes are stirred in by a bijection that spreads all bits, so no sums or products of
+    texts can cancel; spans of more than 8 * LANES bytes take XXH3. Two different strings share a
+    hash with odds of 2**-64. Where that could decide a result, contents are compared (``distinct``)
+    or a second seed is used beside.
+    """
+    size = ends - starts
+    h = mix(size.astype(np.uint64) * _STEP + np.uint64((seed * 2 + 1) * 0x9E3779B97F4A7C15 % 2**64))
     if not len(starts):
-        return np.empty(0, np.uint64)
-    if len(data) > WINDOW and (starts[1:] >= starts[:-1]).all():  # a window at a time: shorter tables
-        out, i = np.empty(len(starts), np.uint64), 0
-        while i < len(starts):
-            j = max(i + 1, int(np.searchsorted(starts, starts[i] + WINDOW // 2)))
-            a, b = int(starts[i]), int(ends[i:j].max())
-            out[i:j] = _hash(data[a:b], starts[i:j] - a, ends[i:j] - a)
-            i = j
-        return out
-    return _hash(data, starts, ends)
-
-
-def _hash(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    powers, inverse = _powers(max(20, int(len(data)).bit_length()))
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_VALUES[data] * powers[: len(data)], out=sums[1:])
-    h = (sums[ends] - sums[starts]) * inverse[starts]
-    return mix(h + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+        return h
+    lanes, on = _Lanes(data), np.flatnonzero((size > 0) & (size <= 8 * LANES))
+    for j in range(LANES):
+        if not len(on):
+            break
+        h[on] = mix((h[on] ^ lanes.read(starts[on], size[on], j)) * _STEP)
+        on = on[size[on] > 8 * (j + 1)]
+    for i in np.flatnonzero(size > 8 * LANES).tolist():
+        h[i] = xxhash.xxh3_64_intdigest(data[starts[i] : ends[i]], seed)
+    return h
+
+
+def distinct(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """One place of each different string among the spans, and each span's string; contents decide, not hashes."""
+    _, at, which = np.unique(hash_spans(data, starts, ends), return_index=True, return_inverse=True)
+    size = ends - starts
+    to = starts[at[which]]
+    unlike = size != size[at[which]]
+    lanes, on = _Lanes(data), np.flatnonzero(~unlike & (size <= 8 * LANES) & (to != starts))
+    for j in range(LANES):
+        on = on[size[on] > 8 * j]
+        if not len(on):
+            break
+        unlike[on] |= lanes.read(starts[on], size[on], j) != lanes.read(to[on], size[on], j)
+    for i in np.flatnonzero(~unlike & (size > 8 * LANES) & (to != starts)).tolist():
+        unlike[i] = data[starts[i] : ends[i]].tobytes() != data[to[i] : to[i] + size[i]].tobytes()
+    if unlike.any():  # a hash has met another: these strings are told apart one by one
+        places: dict[bytes, int] = {}
+        found = np.array([places.setdefault(data[a:b].tobytes(), len(places)) for a, b in zip(starts.tolist(), ends.tolist(), strict=True)], np.int64)
+        _, at, which = np.unique(found, return_index=True, return_inverse=True)
+    return at, which
 
 
 class Block:
@@ -74,29 +95,28 @@ class Block:
     def __init__(self, data: np.ndarray, bounds: np.ndarray, first: int) -> None:
         self.data, self.bounds, self.first, self.n = data, bounds, first, len(bounds) - 1
 
-    def words(self, lower: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Words of all texts: start, end and hash of each, and the number of words before each text (n + 1 numbers)."""
-        data = LOWER[self.data] if lower else self.data
-        inside = ~SPACES[data]
+    def words(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Words of all texts: start and end of each, and the number of words before each text (n + 1 numbers)."""
+        inside = ~SPACES[self.data]
         starts = inside.copy()
         starts[1:] &= ~inside[:-1]
         ends = inside.copy()
         ends[:-1] &= ~inside[1:]
         edges = self.bounds[1:-1]  # no word crosses from one text into the next
-        edges = edges[(edges > 0) & (edges < len(data))]
+        edges = edges[(edges > 0) & (edges < len(inside))]
         starts[edges] |= inside[edges]
         ends[edges - 1] |= inside[edges - 1]
         s, e = np.flatnonzero(starts), np.flatnonzero(ends) + 1
-        return s, e, hash_spans(data, s, e), np.searchsorted(s, self.bounds)
+        return s, e, np.searchsorted(s, self.bounds)
 
-    def chunks(self, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    def chunks(self, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """The same of the chunks that begin where ``starts`` is true and where a text begins."""
         starts = starts.copy()
         filled = self.bounds[:-1][self.bounds[1:] > self.bounds[:-1]]
         starts[filled] = True
         s = np.flatnonzero(starts)
         e = np.append(s[1:], len(self.data))
-        return s, e, hash_spans(self.data, s, e), np.searchsorted(s, self.bounds)
+        return s, e, np.searchsorted(s, self.bounds)
 
 
 @cache

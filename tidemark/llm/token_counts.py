@@ -14,9 +14,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import lean, text_of
-from tidemark.llm.textkit import Block, blocks
+from tidemark.llm.textkit import Block, blocks, distinct
 
 MARK = "▁"  #: how the vocabulary writes a space
+REMEMBERED = 256  #: bytes of the longest chunk that is remembered between blocks
 
 _COUNTERS: dict[str, MergeCounter] = {}
 _COUNTS = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_tokens", pa.int64()), ("over_limit", pa.bool_())])
@@ -29,7 +30,7 @@ class MergeCounter:
     number of initial symbols (a character, or each byte of one that the vocabulary lacks) less
     that of merges; no identifiers are made. As no piece has a space behind another character, and
     some characters are in no longer piece at all, a text is cut there and each distinct chunk of a
-    block is counted once (chunks are told apart by 64-bit hashes).
+    block is counted once; blocks and the memory tell chunks apart by their bytes.
     """
 
     def __init__(self, path: str, most: int = 600_000) -> None:
@@ -43,7 +44,7 @@ class MergeCounter:
         self.solo = np.zeros(256, bool)
         self.solo[[b for b in range(128) if chr(b) not in inside and b != 0x20]] = True
         self.most = most
-        self.known: dict[int, int] = {}
+        self.known: dict[bytes, int] = {}
 
     def count(self, text: str) -> int:
         rank = self.rank
@@ -85,24 +86,25 @@ class MergeCounter:
         solo = self.solo[data]
         cut |= solo
         cut[1:] |= solo[:-1]
-        s, e, h, first = block.chunks(cut)
-        filled = first[1:] > first[:-1]
-        heads = first[:-1][filled]
-        h[heads] ^= np.uint64(0xA5A5A5A5A5A5A5A5)  # these have a space more
-        head = np.zeros(len(s), bool)
-        head[heads] = True
-        keys, at, which = np.unique(h, return_index=True, return_inverse=True)
-        names = keys.tolist()
-        counts = [known.get(k) for k in names]
-        if len(known) + len(counts) > self.most:
-            known.clear()
+        s, e, first = block.chunks(cut)
+        at, which = distinct(data, s, e)
         raw = data.tobytes()
-        for i, x in enumerate(counts):
-            if x is None:
-                a = at[i]
-                text = raw[s[a] : e[a]].decode().replace(" ", MARK)
-                counts[i] = known[names[i]] = self.count(MARK + text if head[a] else text)
-        upto = np.concatenate([[0], np.cumsum(np.array(counts, np.int64)[which])])
+        if len(known) + len(at) + block.n > self.most:
+            known.clear()
+
+        def count(chunk: bytes, mark: str) -> int:
+            key = mark.encode() + b"\xff" + chunk  # no text has this byte
+            got = known.get(key)
+            if got is None:
+                got = self.count(mark + chunk.decode().replace(" ", MARK))
+                if len(chunk) <= REMEMBERED:
+                    known[key] = got
+            return got
+
+        counts = np.array([count(raw[a:b], "") for a, b in zip(s[at].tolist(), e[at].tolist(), strict=True)], np.int64)[which]
+        for i in first[:-1][first[1:] > first[:-1]].tolist():  # a text's first chunk has a space more
+            counts[i] = count(raw[s[i] : e[i]], MARK)
+        upto = np.concatenate([[0], np.cumsum(counts)])
         return upto[first[1:]] - upto[first[:-1]]
 
 
