@@ -1,4 +1,7 @@
 import hashlib
+import random
+import re
+import time
 import zlib
 
 import numpy as np
@@ -91,6 +94,16 @@ CASES = {
     "<a href='x>y'>z</a>": "z",
     "<td>loose": "loose",
     "<select><option>a<option>b</select>": "a\nb",
+    "<details><summary>s</summary>more</details><details open><summary>t</summary>all</details>": "s\nt\nall",
+    "<dialog>closed</dialog><dialog open>open</dialog>": "open",
+    "<div style='visibility:hidden'>a<p style='visibility: visible'>b</p>c</div>d": "b\n\nd",
+    "<style>.x, #y { display:none } p.z{visibility:hidden} @media print{b{display:none}} /* i{display:none} */</style><i class='w x'>a</i><i id=y>b</i><p class=z>c</p><b>d</b><i>e</i>": "de",
+    "<style>p{display:none} p.k{display:block}</style><p>a<p class=k>b": "b",
+    "<table><tr><td colspan=2000>a<td>b<tr><td rowspan=99999>c<td>d<tr><td>e</table>": "a     b\nc  d\n   e",
+    "a<b": "a",
+    "x <y z": "x",
+    "<p title=\"open>a<b>c": "ac",
+    "&#99999999999999999999;x": "\ufffdx",
     "": "",
 }
 
@@ -100,8 +113,73 @@ def test_rendering(html):
     assert render(html) == CASES[html]
 
 
+SOUPS = ["<a", "<a '>' ", "<a \"", "<a '' ", "</a ", "<!--", "<!-- -", "<!", "<?x", "</script ", "<script></script ", "<b></i>", "<table><td><b></i>", "&#9", "<p>", "<li>", "<ul><li>x", "<b>x</b>", "<td rowspan=9 colspan=9>", "<tr><td>", "<a x", "= ", "<style>a{", "<style>}", "<p class=a>", "<div style='display:", "<font color=\"", "'", '"', "<", ">", "</", "<table>"]
+
+
+@pytest.mark.parametrize("soup", SOUPS)
+def test_soup_is_read_in_linear_time(soup):
+    for page in (soup * 50_000, "<i>" + soup * 20_000 + ">", "<script>" + soup * 20_000):
+        began = time.process_time()
+        render(page)
+        assert time.process_time() - began < 5
+
+
+def test_mixed_soup_is_read_in_linear_time():
+    rng = random.Random(3)
+    for _ in range(20):
+        page = "".join(rng.choices(SOUPS, k=20_000))
+        began = time.process_time()
+        render(page)
+        assert time.process_time() - began < 5
+
+
+def page_of(rng, words, shown, deep=0):
+    """A random page and, in order, the words that it shows."""
+    html, want = [], []
+    for _ in range(rng.randint(1, 5)):
+        kind = rng.choice(["text", "block", "inline", "list", "table", "hide", "again", "raw", "details"]) if deep < 5 else "text"
+        inner, seen = page_of(rng, words, shown, deep + 1) if kind not in ("text", "raw") else ("", [])
+        own = [rng.choice(words) + str(rng.randrange(1000)) for _ in range(rng.randint(1, 6))]
+        if kind == "text":
+            html.append(" ".join(own) + rng.choice([" ", "\n", " <!-- no --> ", "<br>"]))
+            want += own if shown else []
+        elif kind == "block":
+            html.append(rng.choice(["<div>{}</div>", "<p>{}</p>", "<h2>{}</h2>", "<section><article>{}</article></section>", "<blockquote>{}</blockquote>"]).format(inner))
+            want += seen
+        elif kind == "inline":
+            html.append(rng.choice([" <b>{}</b> ", " <a href='x>y'>{}</a> ", ' <span class="c">{}</span> ']).format(inner))
+            want += seen
+        elif kind == "list":
+            more, also = page_of(rng, words, shown, deep + 1)
+            html.append(f"<ul><li>{inner}<li>{more}</ul>")
+            want += seen + also
+        elif kind == "table":
+            html.append(f"<table><tr><td>{inner}</table>")
+            want += seen
+        elif kind == "hide":
+            html.append(rng.choice(["<div hidden>{}</div>", "<div style='color:red; display:none'>{}</div>", "<dialog>{}</dialog>", "<div class='gone'>{}</div>"]).format(inner))
+        elif kind == "again":
+            inner, seen = page_of(rng, words, True, deep + 1)
+            html.append(f"<div style='visibility:hidden'>{own[0]}<div style='visibility:visible'>{inner}</div></div>")
+            want += seen
+        elif kind == "raw":
+            html.append(rng.choice(["<script>{}</script>", "<style>{}</style>", "<template>{}</template>"]).format(" ".join(own)))
+        else:
+            html.append(f"<details><summary>{own[0]}</summary>{inner}</details><details open>{own[-1]}</details>")
+            want += [own[0], own[-1]] if shown else []
+    return "".join(html), want
+
+
+def test_the_words_of_random_pages_are_those_shown_in_their_order():
+    rng = random.Random(11)
+    for _ in range(400):
+        html, want = page_of(rng, ["alpha", "beta", "gamma"], True)
+        got = re.findall(r"(?:alpha|beta|gamma)[0-9]+", render("<style>.gone{display:none}</style>" + html))
+        assert got == want
+
+
 def test_deep_and_long_pages_and_rows(spark):
-    assert render("<div>" * 50_000 + "x") == "x" and render("<ul><li>" * 300 + "x").endswith("- x")
+    assert render("<div>" * 50_000 + "x") == "x" and render("<ul><li>" * 300 + "x") == " " * 78 + "- x"
     assert len(render("<p>word " * 20_000)) > 100_000
     pages = spark.createDataFrame([(1, None, 0), (2, "", 0), (None, "<b>x</b>", 0), (2, "", 0)], "page_id long, html string, text int")
     assert sorted((str(r[0]), r[1], r[2]) for r in html_text(pages).collect()) == [("1", 0, ""), ("2", 0, ""), ("2", 0, ""), ("None", 1, "x")]

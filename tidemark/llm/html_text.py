@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
-from html import unescape
+from bisect import bisect_left, bisect_right
+from collections.abc import Iterable, Iterator
+from html import unescape as _unescape
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -19,6 +21,9 @@ MARGIN = dict.fromkeys("p h1 h2 h3 h4 h5 h6 ul ol dl table blockquote pre figure
     "html body div section article header footer nav main aside address form li dt dd tr caption summary details figcaption legend option optgroup center thead tbody tfoot td th hgroup search dir".split(), 0
 )
 CELL = frozenset(("td", "th"))
+SPANS = {"colspan": 1000, "rowspan": 65534}
+DEEP = 40  #: steps of indent
+_TABLE = frozenset("tr table tbody thead tfoot td th body html".split())
 #: An open element that a start tag of the key ends, and the elements that bound the search for it.
 _P_ENDS = frozenset("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section summary table ul".split())
 IMPLIED = {
@@ -29,12 +34,20 @@ IMPLIED = {
 }
 _SCOPE = frozenset("table td th caption html template object button".split())  #: an end of p is not implied through these
 
-_TOKEN = re.compile(r"<!--(?:.*?--!?>|.*\Z)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>", re.S)
+#: An open tag's name and as much of its attributes as has no open quote; possessive, so it never steps back.
+_TAG = re.compile(r"(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)", re.S)
 _ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
-_INVISIBLE = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))\b", re.I)
+_DECLARED = re.compile(r"(?:^|;)\s*(display|visibility)\s*:\s*([a-z-]+)", re.I)
+_SIMPLE = re.compile(r"([a-zA-Z][\w-]*|\*)?((?:[.#][\w-]+)*)")
+_LONG_NUMBER = re.compile(r"(&#[0-9]{8})[0-9]+")
 _SPACE = re.compile(r"[ \t\n\r\f]+")
 
 
+def unescape(text: str) -> str:
+    """Text with its character references resolved; numbers of any length are beyond Unicode alike."""
+    return _unescape(_LONG_NUMBER.sub(r"\1", text) if "&#" in text else text)
+
+
 class Node:
     __slots__ = ("attributes", "children", "tag")
 
@@ -42,8 +55,63 @@ class Node:
         self.tag, self.attributes, self.children = tag, attributes, []
 
     def hidden(self) -> bool:
+        """Whether the element and all in it are left out, whatever styles say of what is in it."""
         a = self.attributes
-        return self.tag in HIDDEN or "hidden" in a or bool(a and "style" in a and _INVISIBLE.search(a["style"])) or (self.tag == "input" and a.get("type", "").lower() == "hidden")
+        return self.tag in HIDDEN or "hidden" in a or (self.tag == "input" and a.get("type", "").lower() == "hidden") or (self.tag == "dialog" and "open" not in a)
+
+
+def _declared(source: str) -> dict[str, str]:
+    """display and visibility of a list of declarations, the last of each."""
+    return {k.lower(): v.lower() for k, v in _DECLARED.findall(source)} if ":" in source else {}
+
+
+class Styles:
+    """Rules of a page's style elements: those of type, class and id selectors without combinators, outside of at-rules.
+
+    A rule with an id beats one with classes, that beats one with a type alone, then the later wins;
+    the style attribute beats all.
+    """
+
+    def __init__(self) -> None:
+        self.rules: dict[str, list[tuple[tuple[int, int, int, int], str, frozenset[str], dict[str, str]]]] = {}
+        self.known: dict[tuple[str, str, str], dict[str, str]] = {}
+        self.n = 0
+
+    def add(self, css: str) -> None:
+        css, depth, at = re.sub(r"/\*.*?(?:\*/|\Z)", " ", css, flags=re.S), 0, 0
+        selectors = ""
+        for m in re.finditer(r"[{}]", css):
+            piece, at = css[at : m.start()], m.end()
+            if m[0] == "{":
+                depth += 1
+                selectors = piece if depth == 1 else ""
+            else:
+                if depth == 1 and "@" not in selectors and (found := _declared(piece)):
+                    for selector in selectors.rpartition(";")[2].split(","):
+                        self._rule(selector.strip(), found)
+                depth = max(0, depth - 1)
+
+    def _rule(self, selector: str, found: dict[str, str]) -> None:
+        m = _SIMPLE.fullmatch(selector)
+        if not m or not selector:
+            return
+        tag, marks = (m[1] or "*").lower(), re.findall(r"[.#][\w-]+", m[2])
+        self.n += 1
+        ids = sum(x[0] == "#" for x in marks)
+        rule = ((ids, len(marks) - ids, tag != "*", self.n), tag, frozenset(marks), found)
+        self.rules.setdefault(marks[0] if marks else tag, []).append(rule)
+
+    def of(self, node: Node) -> dict[str, str]:
+        a = node.attributes
+        key = (node.tag, a.get("class", ""), a.get("id", ""))
+        out = self.known.get(key) if self.rules else {}
+        if out is None:
+            out = self.known[key] = {}
+            marks = {"." + c for c in a.get("class", "").split()} | ({"#" + a["id"]} if a.get("id") else set())
+            fit = [r for key in (*marks, node.tag, "*") for r in self.rules.get(key, ()) if r[1] in (node.tag, "*") and r[2] <= marks]
+            for *_, found in sorted(fit, key=lambda r: r[0]):
+                out.update(found)
+        return out | _declared(a["style"]) if "style" in a else out
 
 
 def _attributes(source: str) -> dict[str, str]:
@@ -54,65 +122,103 @@ def _attributes(source: str) -> dict[str, str]:
     return out
 
 
-def parse(html: str) -> Node:
-    """A tree from tag soup: implied ends, void and raw elements, ends without a start ignored."""
-    root = Node("#root", {})
-    stack = [root]
+class Open:
+    """The open elements, with the places of each tag, so that looking for one takes no walk."""
+
+    def __init__(self, root: Node) -> None:
+        self.stack, self.places = [root], {}
+
+    def push(self, node: Node) -> None:
+        self.places.setdefault(node.tag, []).append(len(self.stack))
+        self.stack.append(node)
 
-    def close(names: tuple[str, ...] | frozenset, bounds: tuple[str, ...] | frozenset) -> None:
-        """End the outermost of the open elements ``names`` that no bound hides."""
-        found = 0
-        for i in range(len(stack) - 1, 0, -1):
-            if stack[i].tag in names:
-                found = i
-            if stack[i].tag in bounds:
-                break
-        if found:
-            del stack[found:]
+    def innermost(self, tags: Iterable[str]) -> int:
+        """The place of the innermost open element of these tags; 0 if there is none."""
+        return max((p[-1] for t in tags if (p := self.places.get(t))), default=0)
 
+    def cut(self, place: int) -> None:
+        """End the element at ``place`` and all in it."""
+        while len(self.stack) > place:
+            self.places[self.stack.pop().tag].pop()
+
+    def close(self, names: Iterable[str], bounds: Iterable[str]) -> None:
+        """End the outermost of the open elements ``names`` within the innermost of ``bounds``."""
+        bound = self.innermost(bounds)
+        inside = [p[i] for t in names if (p := self.places.get(t)) and (i := bisect_right(p, bound)) < len(p)]
+        if inside:
+            self.cut(min(inside))
+
+
+def parse(html: str) -> tuple[Node, Styles]:
+    """A tree from tag soup, and the page's style rules: implied ends, void and raw elements, ends without a start ignored.
+
+    The page is read once from left to right and never again from an earlier place. An unclosed
+    comment or tag takes in all the rest, as in browsers; a quote that nothing closes counts as an
+    ordinary character of its tag.
+    """
+    root, styles = Node("#root", {}), Styles()
+    up = Open(root)
+    stack = up.stack
     at, n = 0, len(html)
     while at < n:
-        m = _TOKEN.search(html, at)
-        end = m.start() if m else n
-        if end > at:
-            stack[-1].children.append(unescape(html[at:end]))
-        if not m:
+        start = html.find("<", at)
+        while 0 <= start < n - 1 and not (html[start + 1].isascii() and (html[start + 1].isalpha() or html[start + 1] in "!?/")):
+            start = html.find("<", start + 1)
+        if start < 0 or start == n - 1:
+            start = n
+        if start > at:
+            stack[-1].children.append(unescape(html[at:start]))
+        if start == n:
             break
-        at = m.end()
-        tag = (m[2] or m[5] or "").lower()
-        if not tag:
+        at = start + 1
+        if html.startswith("!--", at):
+            short = html.startswith((">", "->"), at + 3)
+            end = html.find(">", at + 3) + 1 if short else min((e + k for mark, k in (("-->", 3), ("--!>", 4)) if (e := html.find(mark, at + 3)) >= 0), default=0)
+            at = end or n
+            continue
+        m = _TAG.match(html, at)
+        if not m:  # a declaration, an instruction, or an end without a name
+            at = html.find(">", at) + 1 or n
             continue
-        if m[1] or m[4]:
+        at, attributes = m.end(), m[3]
+        if at < n and html[at] != ">":  # a quote that nothing closes; at most one of a kind on a page
+            end = html.find(">", at)
+            attributes += html[at : end if end >= 0 else n]
+            at = end if end >= 0 else n
+        if at >= n:
+            break
+        at += 1
+        tag = m[2].lower()
+        if m[1]:
             if tag == "br":
                 stack[-1].children.append(Node("br", {}))
-                continue
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag == tag:
-                    del stack[i:]
-                    break
-                if stack[i].tag in CELL and tag not in ("tr", "table", "tbody", "thead", "tfoot", "td", "th", "body", "html"):
-                    break  # an end tag in a cell doesn't reach what is open around the table
+            elif place := up.innermost((tag,)):
+                # an end tag in a cell doesn't reach what is open around the table
+                if tag in _TABLE or place >= up.innermost(CELL):
+                    up.cut(place)
             continue
         if tag in IMPLIED:
-            close(*IMPLIED[tag])
+            up.close(*IMPLIED[tag])
         if tag in _P_ENDS:
-            close(("p",), _SCOPE)
+            up.close(("p",), _SCOPE)
         if tag in CELL and stack[-1].tag in ("table", "thead", "tbody", "tfoot"):
             row = Node("tr", {})
             stack[-1].children.append(row)
-            stack.append(row)
-        node = Node(tag, _attributes(m[3] or m[6] or ""))
+            up.push(row)
+        node = Node(tag, _attributes(attributes))
         stack[-1].children.append(node)
         if tag in VOID:
             continue
         if tag in RAW:
-            close_at = re.compile(rf"</{tag}(?=[\s/>])[^>]*>", re.I).search(html, at)
+            close_at = re.compile(rf"</{tag}(?=[\s/>])", re.I).search(html, at)
             body = html[at : close_at.start()] if close_at else html[at:]
             node.children.append(unescape(body) if tag in ("textarea", "title") else body)
-            at = close_at.end() if close_at else n
+            at = (html.find(">", close_at.end()) + 1 or n) if close_at else n
+            if tag == "style":
+                styles.add(body)
             continue
-        stack.append(node)
-    return root
+        up.push(node)
+    return root, styles
 
 
 class Lines:
@@ -146,9 +252,9 @@ class Lines:
             self.lines += [""] * self.gap
         self.gap = 0
         for line in lines:
-            lead = "".join(self.indent)
+            lead = "".join(self.indent[:DEEP])
             if self.marker:
-                lead, self.marker = lead[: len(lead) - len(self.marker)] + self.marker, ""
+                lead, self.marker = lead[: max(0, len(lead) - len(self.marker))] + self.marker, ""
             self.lines.append((lead + line).rstrip(" ") if line else "")
 
     def block(self, margin: int) -> None:
@@ -156,26 +262,36 @@ class Lines:
         self.gap = max(self.gap, margin)
 
 
-def _number(node: Node, name: str, default: int, most: int = 1000) -> int:
+def _number(node: Node, name: str, default: int) -> int:
     value = node.attributes.get(name, "").strip()
-    return max(-most, min(most, int(value))) if re.fullmatch(r"-?\d{1,9}", value) else default
+    return int(value) if re.fullmatch(r"-?[0-9]{1,9}", value) else default
+
+
+def _span(node: Node, name: str) -> int:
+    """colspan or rowspan, which the HTML standard clamps to 1..1000 and 1..65534."""
+    return max(1, min(SPANS[name], _number(node, name, 1)))
 
 
 def _table(rows: list[list[tuple[list[str], int, int]]]) -> list[str]:
     """Rows of (lines, column span, row span) with columns aligned."""
     grid: list[dict[int, tuple[list[str], int]]] = []
-    below: dict[int, int] = {}
-    for row in rows:
-        placed, column = {}, 0
+    below: list[tuple[int, int, int]] = []  #: runs of columns (start, end) that cells from above take up to a row
+    for number, row in enumerate(rows):
+        placed, column, i = {}, 0, 0
+        below = [run for run in below if run[2] > number]
+        new = []
         for lines, wide, high in row:
-            while below.get(column, 0) > 0:
-                column += 1
+            while i < len(below) and below[i][0] <= column:
+                column = max(column, below[i][1])
+                i += 1
             placed[column] = (lines, wide)
-            for c in range(column, column + wide):
-                if high > 1:
-                    below[c] = high
+            if high > 1:
+                if new and new[-1][1:] == (column, number + high):
+                    new[-1] = (new[-1][0], column + wide, number + high)
+                else:
+                    new.append((column, column + wide, number + high))
             column += wide
-        below = {c: k - 1 for c, k in below.items() if k > 1}
+        below = sorted(below + new) if new else below
         grid.append(placed)
     width: dict[int, int] = {}
     for placed in grid:
@@ -183,11 +299,10 @@ def _table(rows: list[list[tuple[list[str], int, int]]]) -> list[str]:
             if wide == 1:
                 width[c] = max(width.get(c, 0), max(map(len, lines), default=0))
     out = []
+    known = sorted(width)
+    before = [0, *accumulate(width[c] + 2 for c in known)]
     for placed in grid:
-        starts, at = {}, 0
-        for c in range(max(placed, default=-1) + 1):
-            starts[c] = at
-            at += width[c] + 2 if c in width else 0
+        starts = {c: before[bisect_left(known, c)] for c in placed}
         height = max((len(lines) for lines, _ in placed.values()), default=0)
         for i in range(height):
             line = ""
@@ -205,16 +320,37 @@ def render(html: str) -> str:
 
     Blocks begin lines; paragraphs, headings, lists, tables and quotes have a blank line around
     them; list items have markers and indents, preformatted text keeps its spaces, table cells are
-    aligned in columns (by code points), cells that span columns don't widen them.
+    aligned in columns (by code points), cells that span columns don't widen them. Indents grow to
+    DEEP steps; what is nested deeper has that of its ancestor.
+
+    Left out: elements that show no text (HIDDEN), those with the hidden attribute, closed dialogs,
+    all but the summary of closed details, and what style rules or attributes don't display. What is
+    made invisible is left out too, but not what is made visible again inside.
     """
     out, outs = Lines(), []
     lists: list[list] = []  # [ordered, next number]
     tables: list[list] = []
     pre = 0
-    todo: list[tuple[object, bool]] = [(parse(html), False)]
+    root, styles = parse(html)
+    visible = True
+    seen: list[bool] = []  #: visibility around the open elements
+    todo: list[tuple[object, bool]] = [(root, False)]
+
+    def enter(node: Node, shown: bool) -> None:
+        nonlocal visible
+        inside = node.children
+        if node.tag == "details" and "open" not in node.attributes:
+            inside = [c for c in inside if isinstance(c, Node) and c.tag == "summary"][:1]
+        seen.append(visible)
+        visible = shown
+        todo.append((node, True))
+        todo.extend((c, False) for c in reversed(inside))
+
     while todo:
         node, leaving = todo.pop()
         if isinstance(node, str):
+            if not visible:
+                continue
             if pre:
                 first, *rest = node.replace("\r\n", "\n").expandtabs(8).split("\n")
                 out.line += first
@@ -227,8 +363,10 @@ def render(html: str) -> str:
         tag = node.tag
         margin = MARGIN.get(tag)
         if not leaving:
-            if node.hidden():
+            style = styles.of(node)
+            if node.hidden() or style.get("display") == "none":
                 continue
+            shown = style["visibility"] == "visible" if style.get("visibility") in ("visible", "hidden", "collapse") else visible
             if tag == "br":
                 if out.line:
                     out.flush()
@@ -236,24 +374,24 @@ def render(html: str) -> str:
                     out.put([""])
                 continue
             if tag == "input" and node.attributes.get("type", "").lower() in ("submit", "button", "reset"):
-                out.write(" " + node.attributes.get("value", "") + " ")
+                out.write(" " + node.attributes.get("value", "") * shown + " ")
                 continue
             if tag == "wbr" or (tag in VOID and tag != "hr"):
                 continue
             if margin is not None and tag not in CELL:
                 out.block(margin if not (tag in ("ul", "ol", "menu", "dir") and lists) else 0)
             if tag in ("ul", "ol", "menu", "dir"):
-                lists.append([tag == "ol", _number(node, "start", 1, 10**9)])
+                lists.append([tag == "ol", _number(node, "start", 1)])
             elif tag == "li":
                 if not lists:
                     lists.append([False, 1])
                 own = lists[-1]
                 if own[0]:
-                    own[1] = _number(node, "value", own[1], 10**9)
+                    own[1] = _number(node, "value", own[1])
                 marker = f"{own[1]}. " if own[0] else "- "
                 own[1] += 1
                 out.indent.append(" " * len(marker))
-                out.marker = marker
+                out.marker = marker if shown else ""
             elif tag in ("dd", "blockquote"):
                 out.indent.append("    ")
             elif tag == "pre":
@@ -269,14 +407,13 @@ def render(html: str) -> str:
             elif tag in CELL and tables and tables[-1]:
                 outs.append((out, lists, pre))
                 out, lists, pre = Lines(), [], 0
-                todo.append((node, True))
-                todo += [(c, False) for c in reversed(node.children)]
+                enter(node, shown)
                 continue
             elif tag in CELL:
                 out.write(" ")
-            todo.append((node, True))
-            todo += [(c, False) for c in reversed(node.children)]
+            enter(node, shown)
             continue
+        visible = seen.pop()
         if tag == "li":
             out.block(0)
             out.indent.pop()
@@ -294,7 +431,7 @@ def render(html: str) -> str:
             out.flush()
             cell = out.lines
             out, lists, pre = outs.pop()
-            tables[-1][-1].append((cell, max(1, _number(node, "colspan", 1)), max(1, _number(node, "rowspan", 1))))
+            tables[-1][-1].append((cell, _span(node, "colspan"), _span(node, "rowspan")))
             continue
         elif tag == "table":
             out.flush()
