@@ -1,3 +1,4 @@
+import re
 import zlib
 from collections import Counter, defaultdict
 
@@ -63,7 +64,6 @@ def test_a_schedule_visits_sources_evenly(spark):
 
 
 def test_mixed_documents(odd, none):
-    words = lambda t: len((t or "").split())
     per = defaultdict(int)
     for r in taken(*mix(odd)).collect():
         per[r["doc_id"]] += r["taken"]
@@ -71,12 +71,45 @@ def test_mixed_documents(odd, none):
     assert out.columns == odd.columns and dict(out.dtypes) == dict(odd.dtypes)
     got = Counter()
     for r in out.select("doc_id", "text", "n_chars").collect():
-        got[r["doc_id"]] += len([w for w in __import__("re").findall(r"[^\x20\x09-\x0D]+", r["text"])])
+        got[r["doc_id"]] += len(re.findall(r"[^\x20\x09-\x0D]+", r["text"]))
         assert r["n_chars"] == len(r["text"])
-    assert words("a b") == 2 and all(abs(got[i] - n) <= 3 for i, n in per.items())
+    assert got == +Counter(per)
     assert mixed(none).count() == 0
 
 
+def test_rows_that_repeat_lose_no_words(spark):
+    docs = spark.createDataFrame([(1, "a b c d e", "x")] * 3 + [(2, "f g", "x"), (None, "h i", "x"), (None, "h i", "x")], "doc_id long, text string, source string")
+    plan = dict(share=1.3, block=4)
+    want = sum(r["taken"] for r in taken(*mix(docs, **plan)).collect())
+    assert sum(len(r["text"].split()) for r in mixed(docs, **plan).collect()) == want == round(1.3 * 21)
+
+
+def test_mixed_rows_follow_the_schedule(spark):
+    docs = spark.createDataFrame([(i, "w " * (30 + i % 50), f"s{i % 3}", i, 0) for i in range(900)], "doc_id long, text string, source string, slot long, gone_id int").repartition(5)
+    _, pieces = mix(docs, block=32)
+    first = {}
+    for p in pieces.collect():
+        key = (p["doc_id"], p["epoch"])
+        first[key] = min(first.get(key, 1 << 60), p["slot"])
+    out = mixed(docs, block=32)
+    assert out.columns == docs.columns
+    seen, slots = Counter(), []
+    for r in out.collect():
+        slots.append({first[r["doc_id"], e] for e in (0, 1) if (r["doc_id"], e) in first})
+        seen[r["doc_id"]] += 1
+    assert seen == Counter(i for i, _ in first)
+    at = 0
+    for some in slots:  # each row has a slot not before its predecessor's
+        at = min(s for s in some if s >= at)
+    rows = [r["source"] for r in out.collect()]
+    words = Counter()
+    for r in docs.select("source", "doc_id").collect():
+        words[r["source"]] += sum((r["doc_id"], e) in first for e in (0, 1))
+    for part in range(1, 8):  # any prefix has the mixture
+        prefix = Counter(rows[: len(rows) * part // 8])
+        assert all(abs(prefix[s] / words[s] - part / 8) < 0.06 for s in words)
+
+
 def test_shards(odd, none, plain):
     rows = shard(odd, 7).collect()
     assert len(rows) == len(plain) and {r["law"] for r in rows} == {"rows"} and all(r["grown_shard"] is None for r in rows)

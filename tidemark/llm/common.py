@@ -13,6 +13,12 @@ from pyspark.sql import functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+#: DuckDB SQL: a macro-like common table of the CRC-32 steps, and the CRC of the bytes of an expression.
+CRC_STEPS = """crc_steps(i, c, k) AS (SELECT i, i, 0 FROM range(256) r(i) UNION ALL SELECT i, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, k + 1 FROM crc_steps WHERE k < 8),
+crc AS (SELECT list(c ORDER BY i) AS steps FROM crc_steps WHERE k = 8)"""
+CRC_OF = """xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(regexp_extract_all(hex(encode({0})), '..'), lambda x: ('0x' || x)::BIGINT)), lambda a, x: xor(a >> 8, steps[(xor(a, x) & 255) + 1])), 4294967295)"""
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that all executors share; a folder of this machine only where the session names none and runs here alone."""
     got = spark.conf.get("spark.checkpoint.dir", None)

@@ -1,6 +1,6 @@
 """Queries and oracle SQL of the training-data operators."""
 
-from tidemark.llm import exact_dedup, near_dedup
+from tidemark.llm import exact_dedup, mixing, near_dedup, sharding
 from tidemark.llm.exact_dedup import op5_exact_dedup
 from tidemark.llm.flac import op7_media
 from tidemark.llm.html_text import op6_html_text
@@ -28,4 +28,6 @@ QUERIES = {
 ORACLE_SQL: dict[str, str] = {
     "op1_near_dedup": near_dedup.ORACLE_SQL,
     "op5_exact_dedup": exact_dedup.ORACLE_SQL,
+    "op8_mixing": mixing.ORACLE_SQL,
+    "op10_sharding": sharding.ORACLE_SQL,
 }

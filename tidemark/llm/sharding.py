@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import bucket_count, hash_buckets, order_hash, prefix_sums, source_key, text_of
+from tidemark.llm.common import CRC_OF, CRC_STEPS, bucket_count, hash_buckets, order_hash, prefix_sums, source_key, text_of
 
 
 def shard(docs: DataFrame, n_shards: int = 40, seed: int = 17, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
@@ -17,7 +17,8 @@ def shard(docs: DataFrame, n_shards: int = 40, seed: int = 17, id_col: str = "do
     the global sort meets in one task.
 
     Nulls: a null text has size 16 and the CRC of no bytes; null sources form a source of their
-    own; null ids are ranked by one hash and may share it. Repeated rows each get a slot. An
+    own; null ids are ranked by one hash and may share it. Repeated rows each get a slot. Rows are
+    dealt by id under this law, so equal texts of different ids may lie in different shards. An
     empty table gives no rows; with fewer rows than shards some shards stay empty. Other columns
     are not read.
     """
@@ -41,3 +42,15 @@ def shard(docs: DataFrame, n_shards: int = 40, seed: int = 17, id_col: str = "do
 
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+ORACLE_SQL = f"""
+WITH RECURSIVE {CRC_STEPS},
+d AS (
+  SELECT doc_id, CASE WHEN source IS NULL THEN 'n' ELSE 's' || source END AS k, (coalesce(octet_length(encode(text)), 0) + 16)::BIGINT AS size, {CRC_OF.format("coalesce(text, '')")} AS text_crc32,
+    substr(md5('17/' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15) AS u FROM documents, crc),
+r AS (SELECT *, (row_number() OVER (PARTITION BY k ORDER BY u, doc_id) - 1 + 0.5::DOUBLE) / count(*) OVER (PARTITION BY k) AS f FROM d),
+g AS (SELECT *, row_number() OVER (ORDER BY f, k, u, doc_id) - 1 AS g, count(*) OVER () AS n FROM r),
+s AS (SELECT *, (g * 40) // n AS shard FROM g)
+SELECT doc_id, size, text_crc32, 'rows' AS law, shard::INTEGER AS shard, (g - (shard * n + 39) // 40)::BIGINT AS slot, CAST(NULL AS INTEGER) AS grown_shard FROM s
+"""
