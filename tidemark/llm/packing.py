@@ -107,10 +107,13 @@ class TierPacker:
     """Packs the documents of one task.
 
     A document is cut into windows of the longest tier; its rest is routed to the shortest tier
-    that holds it. A bounded pool of rests waits; when it overflows, windows are packed of whichever
-    tier has most tokens waiting: its longest rest opens a window, the longest waiting rests that fit follow, and the last gap is filled with a cut from the shortest tier, whose
-    remainder is routed anew. So windows have no gaps but for the last of a task. Windows of a tier
-    form step groups of ``step_tokens`` each.
+    that holds it. A bounded pool of rests waits; when it overflows, each tier in turn packs a
+    window as long as its own rests can fill one: the longest opens it, the longest that fit follow,
+    first of the tier itself, then of shorter ones, and the last gap is filled with a cut from the
+    shortest tier, whose remainder is routed anew. When no tier can fill a window alone, the one
+    with most tokens waiting opens it. So every tier has windows, short rests that are left over fill
+    long ones, and no window has a gap but for the last of a task. Windows of a tier form step
+    groups of ``step_tokens`` each, so that all steps have equally many tokens.
     """
 
     def __init__(self, tiers: tuple[int, ...], step_tokens: int, base: int, pool: int = 512) -> None:
@@ -121,6 +124,7 @@ class TierPacker:
         self.order = 0
         self.groups: dict[int, list] = {t: [0, 0] for t in self.tiers}
         self.held = 0
+        self.turn = 0
 
     def add(self, doc: int | None, ids: bytes) -> Iterator[tuple]:
         n, top = len(ids) // 4, self.tiers[-1]
@@ -147,9 +151,11 @@ class TierPacker:
         return piece
 
     def drain(self, leave: int) -> Iterator[tuple]:
-        """Close windows of the tier that has the most tokens waiting, until ``leave`` rests wait."""
+        """Close windows, tier after tier, until ``leave`` rests wait."""
         while self.held > leave:
-            tier = max(self.tiers, key=self.tokens.__getitem__)
+            turns = self.tiers[self.turn :] + self.tiers[: self.turn]
+            tier = next((t for t in turns if self.tokens[t] >= t), None) or max(self.tiers, key=self.tokens.__getitem__)
+            self.turn = (self.tiers.index(tier) + 1) % len(self.tiers)
             window = [self.take(tier)]
             room = tier - len(window[0][2]) // 4
             while room and self.held:
