@@ -1,14 +1,17 @@
 import math
 import random
 import re
+import unicodedata
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tidemark.llm import language_model as L
 from tidemark.llm import toxicity as T
+from tidemark.llm.textkit import blocks
 
 
 def held(i, folds):
@@ -132,6 +135,155 @@ def test_held_out_labels_teach_nothing(toxic):
     assert (a.features == b.features).all() and np.allclose(a.weights, b.weights)
 
 
+def words_of(text):
+    """Plain reading of the words: runs of letters, capitals made small."""
+    out, word = [], ""
+    for c in text + " ":
+        if unicodedata.category(c)[0] in "LM":
+            word += c.lower() if c < "\x80" or "À" <= c <= "Þ" else c
+        elif word:
+            out.append(word)
+            word = ""
+    return out
+
+
+def plain_features(text):
+    out = Counter()
+    for w in words_of(text):
+        raw = w.encode()
+        out[(0, raw)] += 1
+        for k in T.PREFIXES:
+            if len(raw) > k:
+                out[(k, raw[:k])] += 1
+    return out
+
+
+def named(feature):
+    k, raw = feature
+    data = np.frombuffer(raw, np.uint8)
+    return int(T.hash_spans(data, np.array([0]), np.array([len(raw)]), k)[0])
+
+
+ODD_WORDS = ["“idiot”", "idiot…", "idiot—really", "¿Idiota?", "l’idiote", "MÜLL!", "日本語。文", "naïve‐x", "ab!!c", "ÀÉÞ", "a_b", "x9y", "😀idiot😀", "e\u0301t", "Straße", "ｗｉｄｅ"]
+
+
+def test_words_end_at_punctuation_of_any_script():
+    rng = random.Random(8)
+    texts = ["", *ODD_WORDS, *(" ".join(rng.choices(ODD_WORDS, k=12)) for _ in range(50))]
+    (block,) = blocks(pa.array(texts))
+    names, doc, f, n = T.features_of(block)
+    got = [Counter() for _ in texts]
+    for d, k, c in zip(doc.tolist(), f.tolist(), n.tolist(), strict=True):
+        got[d][int(names[k])] += c
+    assert got == [Counter({named(k): c for k, c in plain_features(t).items()}) for t in texts]
+    lexicon = set(T.lexicon_hashes().tolist())
+    assert all(lexicon & set(g) for t, g in zip(texts, got, strict=True) if "diot" in t or "MÜLL" in t)
+
+
+def test_patterns_equal_regular_expressions():
+    rng = random.Random(12)
+    parts = ["ABC", "DEFG", "AB", "you", "are", "a", "an", "You", "ARE", "tu", "es", "une", "!!", "!", "aaaa", "aaa", "zzzzz", "b4d", "b@d", "4x", "f**k", "f*k", "i d i o t", "x y z", "d", "ÉÉÉ", "du bist ein", "eres", "un", "-", "\n", "é"]
+    texts = ["", "a", "!!", *("".join(x + rng.choice([" ", " ", "", ", "]) for x in rng.choices(parts, k=rng.randint(1, 14))) for _ in range(800))]
+    (block,) = blocks(pa.array(texts))
+    letter = "[^\\W\\d_]"
+
+    def plain(t):
+        w = [(m[0], m.start(), m.end()) for m in re.finditer(rf"{letter}+", t)]
+        runs = lambda ok, k: any(all(ok[i : i + k]) for i in range(len(ok) - k + 1))
+        alone = [len(x.encode()) == 1 and j + 1 < len(w) and t[e : w[j + 1][1]] == " " for j, (x, _, e) in enumerate(w)]
+        low = [x.lower() for x, _, _ in w]
+        return (runs([bool(re.fullmatch("[A-Z]{3,}", x)) for x, _, _ in w], 3), "!!" in t, bool(re.search(r"([A-Za-z])\1{3}", t.lower() if t.isascii() else re.sub("[A-Z]", lambda m: m[0].lower(), t))),
+                bool(re.search(r"[A-Za-z][0-9@$][A-Za-z]", t)), runs(alone, 3), bool(re.search(r"[A-Za-z]\*\*", t)), any(low[i : i + len(p.split())] == p.split() for p in T.ADDRESS for i in range(len(low))))
+
+    assert [tuple(x) for x in T.patterns_of(block).tolist()] == [plain(t) for t in texts]
+
+
+def test_mined_counts_ballots_and_scores_equal_plain_ones(toxic):
+    docs, labels = toxic
+    y = {}
+    for r in labels.collect():
+        if r["toxic"] is not None and not held(r["doc_id"], 5):
+            y[r["doc_id"]] = max(y.get(r["doc_id"], 0), r["toxic"])
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    n1, n0 = Counter(), Counter()
+    for i, t in texts.items():
+        if i in y:
+            (n1 if y[i] else n0).update(set(plain_features(t)))
+    all1, all0 = sum(y[i] for i in y if i in texts), sum(1 - y[i] for i in y if i in texts)
+
+    def gain(f):
+        a, b, p, q = n1[f] + 0.25, n0[f] + 0.25, all1 + 0.5, all0 + 0.5
+        if n1[f] < 2 or a / p <= 4 * b / q:
+            return 0
+        return a * math.log(a / p / ((a + b) / (p + q))) + (p - a) * math.log(max((p - a) / p, 1e-9) / max((p + q - a - b) / (p + q), 1e-9))
+
+    best = {named(f): gain(f) for f in n1 if gain(f) > T.SIGNIFICANT}
+    y_rows = labels.where("toxic is not null").groupBy(T.F.col("doc_id").alias("id")).agg(T.F.max("toxic").alias("y")).where(~T.held_out("id"))
+    rows = docs.select(T.F.col("doc_id").alias("id"), "text")
+    got, g1, g0 = T.mine(rows.join(y_rows, "id").select("y", "text"), 1000)
+    assert (g1, g0) == (all1, all0) and set(got.tolist()) == set(best)
+    voting = np.unique(np.concatenate([got[:20], T.lexicon_hashes()]))
+    place = {int(h): i for i, h in enumerate(voting)}
+    want = Counter()
+    for i, t in texts.items():
+        (block,) = blocks(pa.array([t]))
+        extra = [len(voting) + k for k in np.flatnonzero(T.patterns_of(block)[0])]
+        want[tuple(sorted(place[named(f)] for f in plain_features(t) if named(f) in place) + extra), y.get(i)] += 1
+    cast = {tuple(r["voters"]): (r["n"], r["n1"], r["n0"]) for r in T.ballots(rows, y_rows, voting).collect()}
+    assert cast == {v: (sum(want[v, k] for k in (None, 0, 1)), want[v, 1], want[v, 0]) for v, _ in want}
+    model = T.fit(docs, labels)
+    weight = dict(zip(model.features.tolist(), model.weights, strict=True))
+    for r in T.score(docs, model).collect():
+        s = model.bias + sum(math.log1p(c) * weight.get(named(f), 0) for f, c in plain_features(texts[r["doc_id"]]).items())
+        assert r["score"] == pytest.approx(1 / (1 + math.exp(-max(-30, min(30, s)))))
+
+
+def plain_em(rows, model, parent, rounds):
+    """The label model's expectation maximisation row by row."""
+    m = len(parent)
+    for _ in range(rounds):
+        mass, fires, both = np.zeros(2), np.zeros((2, m)), np.zeros((2, m, m))
+        for v in rows:
+            odds = math.log(model.prior / (1 - model.prior))
+            for i in range(m):
+                up = int(v[parent[i]]) if parent[i] != i else 0
+                r1, r0 = model.rates[1, up, i], model.rates[0, up, i]
+                odds += math.log(r1 / r0) if v[i] else math.log((1 - r1) / (1 - r0))
+            q = 1 / (1 + math.exp(-max(-30, min(30, odds))))
+            for y, w in ((0, 1 - q), (1, q)):
+                mass[y] += w
+                fires[y] += w * v
+                both[y] += w * np.outer(v, v)
+        model = T.estimate(mass, fires, both, parent)
+    return model
+
+
+def test_label_model_learns_accuracies_and_correlations_without_labels(spark):
+    """Voters of known accuracies, one of them three times over; labels start the search and don't decide."""
+    rng = np.random.default_rng(5)
+    n, hit, false = 6000, np.array([0.8, 0.5, 0.3, 0.6]), np.array([0.02, 0.05, 0.01, 0.1])
+    y = rng.random(n) < 0.15
+    v = rng.random((n, 4)) < np.where(y[:, None], hit, false)
+    v = np.concatenate([v, v[:, 3:4], v[:, 3:4]], 1)  # the weakest voter in copies
+    gold = np.where(rng.random(n) < 0.05, y.astype(int), -1)
+    table = spark.createDataFrame([([int(i) for i in np.flatnonzero(r)], 1, int(g == 1), int(g == 0)) for r, g in zip(v, gold, strict=True)], "voters array<smallint>, n long, n1 long, n0 long").repartition(3)
+    model = T.label_model(table, 6, np.arange(1), rounds=20)
+    p = model.posterior(v)
+    best = hit**v[:, :4] * (1 - hit) ** (1 - v[:, :4].astype(int))
+    other = false**v[:, :4] * (1 - false) ** (1 - v[:, :4].astype(int))
+    ideal = 0.15 * best.prod(1) / (0.15 * best.prod(1) + 0.85 * other.prod(1))
+    assert abs(model.prior - 0.15) < 0.03 and ((p > 0.5) == (ideal > 0.5)).mean() > 0.97 and ((p > 0.5) == y).mean() > 0.93
+    assert len(set(model.parent[3:].tolist())) == 1  # the copies hang together
+    assert p[(v == [0, 0, 0, 1, 1, 1]).all(1)].max() < 0.6  # and count once
+    start = T.LabelModel(model.prior, model.parent, model.rates)
+    plain = plain_em(v[:500], start, model.parent, 3)
+    few = spark.createDataFrame([([int(i) for i in np.flatnonzero(r)], 1, 0, 0) for r in v[:500]], "voters array<smallint>, n long, n1 long, n0 long").groupBy("voters").agg(*(T.F.sum(c).alias(c) for c in ("n", "n1", "n0")))
+    now = start
+    for _ in range(3):
+        now = T.estimate(*T._sums(few, 6, lambda x, n, a, b, now=now: (n * (1 - now.posterior(x)), n * now.posterior(x))), model.parent)
+    assert now.prior == pytest.approx(plain.prior) and np.allclose(now.rates, plain.rates)
+
+
 def test_odd_rows_are_scored(odd, none, plain, toxic):
     _, labels = toxic
     model = T.fit(odd, labels)
