@@ -21,7 +21,7 @@ BANDS = M // ROWS
 NUMBER, OF = 75, 100  #: linked if OF * intersection >= NUMBER * union
 SURE, DOUBT = 0.80, 0.57  #: estimates above are verified first; below (4.7 standard errors) never
 TEXT = 1 << 20  #: bytes of text prepared at once
-TOGETHER = 2048  #: documents compared with each other in one task
+TOGETHER = 512  #: documents compared with each other in one task
 
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 
