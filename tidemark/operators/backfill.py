@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType
 
@@ -44,9 +44,19 @@ def backfill(source: DataFrame, target: DataFrame, chosen: Column) -> DataFrame:
     return source.where(chosen).select(*(P.quoted(c) for c in target.columns))
 
 
-def migrated(source: DataFrame, target: DataFrame, cut: Cut) -> DataFrame:
-    """The target after its history was replaced by the source's (the window narrows the insert only)."""
-    return survivors(target, cut.history()).unionByName(backfill(source, target, cut.history(windowed=True)))
+def migrated(source: DataFrame, target: DataFrame, cut: Cut, removed: Observation | None = None, added: Observation | None = None) -> DataFrame:
+    """The target after its history was replaced by the source's (the window narrows the insert only).
+
+    ``removed`` and ``added`` see the rows that go and come, while the result is written.
+    """
+    return _replaced(source, target, cut.history(), cut.history(windowed=True), removed, added)
+
+
+def _replaced(source: DataFrame, target: DataFrame, doomed: Column, chosen: Column, removed: Observation | None, added: Observation | None) -> DataFrame:
+    new = backfill(source, target, chosen)
+    if added is not None:
+        new = new.observe(added, F.count(F.lit(1)).alias("added"))
+    return survivors(watched(target, doomed, removed), doomed).unionByName(new)
 
 
 def source_count(source: DataFrame, cut: Cut) -> DataFrame:
@@ -68,6 +78,21 @@ def parity(source: DataFrame, before: DataFrame, after: DataFrame, cut: Cut) ->
     return out.withColumn("ok", (F.col("target_le_cutoff") == F.col("share_count")) & (F.col("live_after") >= F.col("live_before")))
 
 
+def survey(frame: DataFrame, cut: Cut, partition: tuple[str, DataType] | None = None) -> DataFrame:
+    """One row, from one scan of a side: windowed (history in the window), history, live, misaligned rows, and the texts of its partition values up to the cut-off."""
+    if partition is None:
+        misaligned, values = F.lit(0).cast("long"), F.array().cast("array<string>")
+    else:
+        misaligned = F.count_if(P.misaligned(cut.history(), *partition, cut.cut_off))
+        values = F.array_sort(F.collect_set(F.when(P.within(*partition, cut.cut_off), P.quoted(partition[0]).cast("string"))))
+    return frame.agg(F.count_if(cut.history(windowed=True)).alias("windowed"), F.count_if(cut.history()).alias("history"), F.count_if(cut.live()).alias("live"), misaligned.alias("misaligned"), values.alias("partition_values"))
+
+
+def watched(frame: DataFrame, removed: Column, watch: Observation | None) -> DataFrame:
+    """``frame``, counting on the way how many rows ``removed`` holds for (as removed)."""
+    return frame if watch is None else frame.observe(watch, F.count_if(removed).alias("removed"))
+
+
 def partitions(source: DataFrame, target: DataFrame, partition: str, kind: DataType, cut: Cut) -> DataFrame:
     """Distinct partition values of either side up to the cut-off, newest first."""
     own = [t.where(P.within(partition, kind, cut.cut_off)).select(P.quoted(partition).alias("value")) for t in (source, target)]
@@ -83,9 +108,9 @@ def slice_of(partition: str, kind: DataType, value: object, cut: Cut, windowed:
     return (P.quoted(partition) == P.partition_literal(value, kind)) & cut.history(windowed)
 
 
-def replace_slice(source: DataFrame, target: DataFrame, partition: str, kind: DataType, value: object, cut: Cut) -> DataFrame:
+def replace_slice(source: DataFrame, target: DataFrame, partition: str, kind: DataType, value: object, cut: Cut, removed: Observation | None = None, added: Observation | None = None) -> DataFrame:
     """The target after one partition's history was replaced."""
-    return survivors(target, slice_of(partition, kind, value, cut)).unionByName(backfill(source, target, slice_of(partition, kind, value, cut, windowed=True)))
+    return _replaced(source, target, slice_of(partition, kind, value, cut), slice_of(partition, kind, value, cut, windowed=True), removed, added)
 
 
 def misalignment(frame: DataFrame, partition: str, kind: DataType, cut: Cut) -> DataFrame:

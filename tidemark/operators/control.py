@@ -4,21 +4,47 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, IntegerType, LongType, StringType, StructField, StructType, TimestampType
+from pyspark.sql.types import StructType
 
 from tidemark.functions.predicates import claimable
 from tidemark.plans.specs import Status
 
 KEYS = ("business_unit", "table_name")
-_TYPES = {"attempt": IntegerType(), "partition_pruned": BooleanType()} | {c: LongType() for c in ("share_count", "deleted_count", "inserted_count", "target_le_cutoff_count", "live_gt_cutoff_before", "live_gt_cutoff_after")} | {c: TimestampType() for c in ("lease_until", "start_ts", "end_ts", "updated_ts")}
-#: The control table's columns.
-COLUMNS = (
-    "business_unit table_name run_id batch_id cut_off_date checkpoint_col source_fqn target_fqn pipeline_name pipeline_id status attempt "
-    "share_count deleted_count inserted_count target_le_cutoff_count live_gt_cutoff_before live_gt_cutoff_after partition_pruned "
-    "delete_predicate backfill_newest_partition backfill_oldest_partition owner_run_id lease_until error_message start_ts end_ts updated_ts"
-).split()
-SCHEMA = StructType([StructField(c, _TYPES.get(c, StringType())) for c in COLUMNS])
-RUNS = StructType([StructField(c, TimestampType() if c.endswith("_ts") else StringType()) for c in ("run_id", "business_unit", "status", "started_by", "start_ts", "end_ts")])
+#: The control table's columns (fixed by existing control tables).
+SCHEMA = (
+    StructType()
+    .add("business_unit", "string")
+    .add("table_name", "string")
+    .add("run_id", "string")
+    .add("batch_id", "string")
+    .add("cut_off_date", "string")
+    .add("checkpoint_col", "string")
+    .add("source_fqn", "string")
+    .add("target_fqn", "string")
+    .add("pipeline_name", "string")
+    .add("pipeline_id", "string")
+    .add("status", "string")
+    .add("attempt", "integer")
+    .add("share_count", "long")
+    .add("deleted_count", "long")
+    .add("inserted_count", "long")
+    .add("target_le_cutoff_count", "long")
+    .add("live_gt_cutoff_before", "long")
+    .add("live_gt_cutoff_after", "long")
+    .add("partition_pruned", "boolean")
+    .add("delete_predicate", "string")
+    .add("backfill_newest_partition", "string")
+    .add("backfill_oldest_partition", "string")
+    .add("owner_run_id", "string")
+    .add("lease_until", "timestamp")
+    .add("error_message", "string")
+    .add("start_ts", "timestamp")
+    .add("end_ts", "timestamp")
+    .add("updated_ts", "timestamp")
+)
+COLUMNS = SCHEMA.names
+#: The run table's columns (fixed likewise).
+RUNS = StructType().add("run_id", "string").add("business_unit", "string").add("status", "string").add("started_by", "string").add("start_ts", "timestamp").add("end_ts", "timestamp")
 RENAMED = {"last_backfilled_partition": "backfill_oldest_partition"}  #: an older name of the watermark
 REGISTERED = ("run_id", "batch_id", "cut_off_date", "checkpoint_col", "source_fqn", "target_fqn")
 
@@ -96,6 +122,19 @@ def skip(control: DataFrame, key: Column, reason: str | Column, now: Column) ->
     return update(control, key & (F.col("status") != Status.SUCCESS), {"status": F.lit(Status.SKIPPED), "error_message": why}, now)
 
 
+def skip_listed(control: DataFrame, reasons: DataFrame, business_unit: str, now: Column) -> DataFrame:
+    """``skip`` for the tables in ``reasons`` (table_name, skip_reason), one row a table."""
+    marked = control.join(reasons, "table_name", "left")
+    listed = (F.col("business_unit") == business_unit) & F.col("skip_reason").isNotNull()
+    return skip(marked, listed, F.col("skip_reason"), now).select(*control.columns)
+
+
+def end_run(runs: DataFrame, run: str, status: str, now: Column) -> DataFrame:
+    """The run table with a run's status and end."""
+    mine = F.col("run_id") == run
+    return runs.withColumn("status", F.when(mine, F.lit(status)).otherwise(F.col("status"))).withColumn("end_ts", F.when(mine, now).otherwise(F.col("end_ts")))
+
+
 def clear_skips(control: DataFrame, names: DataFrame, business_unit: str | None, now: Column) -> DataFrame:
     """SKIPPED rows of the named tables (a column table_name) become PENDING."""
     marked = control.join(names.select("table_name").distinct().withColumn("__named", F.lit(True)), "table_name", "left")
@@ -128,6 +167,11 @@ def run_gate(control: DataFrame, run: str) -> DataFrame:
     return control.where(F.col("run_id") == run).agg((F.count_if(F.col("status").isin(Status.FAILED, Status.SKIPPED)) == 0).alias("ok"))
 
 
+def resolved(specs: DataFrame) -> DataFrame:
+    """One row: how many of the specs have a pipeline's id, of how many."""
+    return specs.agg(F.count_if(F.col("pipeline_id").isNotNull()).alias("resolved"), F.count("*").alias("tables"))
+
+
 def report_detail(control: DataFrame, run: str) -> DataFrame:
     shown = ("status", "table_name", "business_unit", "attempt", "owner_run_id", "error_message")
     return control.where(F.col("run_id") == run).select(*shown).orderBy("status", "table_name")
