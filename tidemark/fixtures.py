@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType
 
+DAY = DateType()
 CUT_EVENTS = "2024-01-20 23:59:59"
 CUT_ORDERS = "1998-12-31 23:59:59"
 CUT_ITEMS = "1998-06-30 23:59:59"
@@ -15,6 +20,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def scratch(spark: SparkSession) -> str:
+    """A new folder, gone when the driver ends, where all executors can write; of this machine only if the session runs here alone."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        shared = "file://" + tempfile.gettempdir()
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared.rstrip('/')}/tables-{uuid.uuid4().hex}")
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(path)
+    files.deleteOnExit(path)
+    return path.toString()
+
+
+def weekly_events(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """As ``events``, by week."""
+    source, target = events(spark, sf_dir)
+    return tuple(t.drop("event_date").withColumn("event_week", F.trunc("ts", "week")) for t in (source, target))
+
+
 def _at_most(column: str, cut: str):
     return F.col(column) <= F.lit(cut).cast("timestamp_ntz")
 

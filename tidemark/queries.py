@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType
@@ -12,9 +10,7 @@ from tidemark import fixtures as X
 from tidemark.functions import predicates as P
 from tidemark.operators import backfill as B
 from tidemark.operators import control as K
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE: dict[str, str] = {}
+from tidemark.registry import ORACLE, QUERIES, query  # noqa: F401
 
 DAY = DateType()
 _EVENT = f"TIMESTAMP '{X.CUT_EVENTS}'"
@@ -37,16 +33,6 @@ _SPECS = """, n AS (SELECT s_suppkey AS k, n_name, s_name FROM supplier JOIN nat
  x AS (SELECT n_name AS business_unit, s_name AS table_name, CASE WHEN k % 4 = 0 THEN 'q' || k END AS pipeline_name, CASE WHEN k % 4 = 0 THEN 'j' || k END AS pipeline_id FROM n) """
 
 
-def query(oracle: str | None = None) -> Callable:
-    def add(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-        QUERIES[f.__name__] = f
-        if oracle:
-            ORACLE[f.__name__] = oracle
-        return f
-
-    return add
-
-
 def _events(spark: SparkSession, sf_dir: str, days: int | None = None) -> tuple[DataFrame, DataFrame, B.Cut]:
     source, target = X.events(spark, sf_dir)
     return source, target, B.Cut.of(source, target, "ts", X.CUT_EVENTS, days)
@@ -181,26 +167,22 @@ def pruned_delete_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.agg(F.count_if(B.pruned_delete("l_receipt", DAY, cut)).alias("pruned"), F.count_if(cut.history()).alias("whole"))
 
 
-@query("SELECT 'event_date' AS partition_col, 'date' AS partition_type")
-def discover_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The first partition column of a date or timestamp type, from a table's metadata."""
-    from tidemark.sources.metadata import discover
-
-    source, _, _ = _events(spark, sf_dir)
-    name, kind = discover(["event_type", "event_date"], source.schema)
-    return spark.createDataFrame([(name, kind.simpleString())], "partition_col string, partition_type string")
-
-
 @query(_F5 + _SPECS + """SELECT coalesce(c.business_unit, x.business_unit) AS business_unit, coalesce(c.table_name, x.table_name) AS table_name,
  CASE WHEN x.table_name IS NOT NULL AND (c.table_name IS NULL OR c.status <> 'SUCCESS') THEN 'r9' ELSE c.run_id END AS run_id,
  CASE WHEN x.table_name IS NOT NULL AND (c.table_name IS NULL OR c.status <> 'SUCCESS') THEN 'ts2' ELSE c.checkpoint_col END AS checkpoint_col,
+ CASE WHEN x.table_name IS NOT NULL AND (c.table_name IS NULL OR c.status <> 'SUCCESS') THEN 'b9' ELSE c.batch_id END AS batch_id,
+ CASE WHEN x.table_name IS NOT NULL AND (c.table_name IS NULL OR c.status <> 'SUCCESS') THEN '2024-02-01 00:00:00' ELSE c.cut_off_date END AS cut_off_date,
+ CASE WHEN x.table_name IS NOT NULL AND (c.table_name IS NULL OR c.status <> 'SUCCESS') THEN 'src9.' || x.table_name ELSE c.source_fqn END AS source_fqn,
+ CASE WHEN x.table_name IS NOT NULL AND (c.table_name IS NULL OR c.status <> 'SUCCESS') THEN 'tgt9.' || x.table_name ELSE c.target_fqn END AS target_fqn,
+ CASE WHEN x.table_name IS NULL THEN c.pipeline_id WHEN c.table_name IS NULL THEN x.pipeline_id WHEN c.status <> 'SUCCESS' THEN coalesce(x.pipeline_id, c.pipeline_id)
+  WHEN c.pipeline_name IS NULL AND x.pipeline_name IS NOT NULL THEN x.pipeline_id ELSE c.pipeline_id END AS pipeline_id,
  CASE WHEN x.table_name IS NULL THEN c.pipeline_name WHEN c.table_name IS NULL THEN x.pipeline_name WHEN c.status <> 'SUCCESS' THEN coalesce(x.pipeline_name, c.pipeline_name) ELSE coalesce(c.pipeline_name, x.pipeline_name) END AS pipeline_name,
  CASE WHEN c.table_name IS NULL THEN 'PENDING' ELSE c.status END AS status, CASE WHEN c.table_name IS NULL THEN 0 ELSE c.attempt END AS attempt,
  x.table_name IS NOT NULL AND (c.table_name IS NULL OR c.status <> 'SUCCESS' OR (c.pipeline_name IS NULL AND x.pipeline_name IS NOT NULL)) AS touched
  FROM c FULL JOIN x ON c.business_unit = x.business_unit AND c.table_name = x.table_name""")
 def register_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = K.register(X.control(spark, sf_dir), X.specs(spark, sf_dir), _now())
-    return out.select("business_unit", "table_name", "run_id", "checkpoint_col", "pipeline_name", "status", "attempt", F.col("updated_ts").isNotNull().alias("touched"))
+    return out.select("business_unit", "table_name", "run_id", "checkpoint_col", "batch_id", "cut_off_date", "source_fqn", "target_fqn", "pipeline_id", "pipeline_name", "status", "attempt", F.col("updated_ts").isNotNull().alias("touched"))
 
 
 @query(_F5 + "SELECT status, count(*) AS tables FROM c WHERE run_id = 'r0' GROUP BY status")
@@ -274,3 +256,6 @@ def control_evolve(spark: SparkSession, sf_dir: str) -> DataFrame:
     old = X.control(spark, sf_dir).withColumn("last_backfilled_partition", F.col("run_id")).drop("pipeline_name", "pipeline_id", "owner_run_id", "lease_until")
     new = K.evolve(old)
     return new.select("table_name", "status", "backfill_oldest_partition", "backfill_newest_partition", "share_count", F.lit(len(new.columns)).cast("long").alias("n_columns"))
+
+
+from tidemark import job_queries  # noqa: E402, F401  registers the queries of whole jobs
