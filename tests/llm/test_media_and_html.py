@@ -1,11 +1,13 @@
 import hashlib
 import random
 import re
+import struct
 import time
 import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark.llm import flac
 from tidemark.llm.flac import CorruptMedia, media_digest, pcm_blocks, read_streams, to_media, write_streams
@@ -62,7 +64,11 @@ def test_media_rows(odd, none, plain):
     by = {}
     for r in rows:
         assert by.setdefault(r["payload_sha256"], (r["media_sha256"], r["media_bytes"], r["feature"])) == (r["media_sha256"], r["media_bytes"], r["feature"])
+        offsets = b"".join(struct.pack("<QQ", at, min(16 * 576, r["payload_bytes"] - at)) for at in range(0, r["payload_bytes"], 16 * 576))
+        assert (r["n_blocks"], r["blocks_crc32"]) == (-(-r["payload_bytes"] // (16 * 576)), zlib.crc32(offsets))
     assert media_digest(to_media(none)).count() == 0
+    (gone,) = media_digest(to_media(odd.where("doc_id = 3")).withColumn("media", F.lit(None).cast("binary"))).collect()
+    assert gone["doc_id"] == 3 and gone["n_bytes"] > 0 and all(gone[c] is None for c in gone.asDict() if c not in ("doc_id", "n_bytes"))
 
 
 def test_pcm_blocks_have_offsets(spark, odd):
@@ -74,6 +80,113 @@ def test_pcm_blocks_have_offsets(spark, odd):
     assert pcm_blocks(spark.createDataFrame([(1, None)], "doc_id long, media binary")).count() == 0
 
 
+class Writer:
+    """A plain bit by bit writer of FLAC frames, of forms that the fast writer doesn't use."""
+
+    def __init__(self):
+        self.bits = ""
+
+    def put(self, value, width):
+        self.bits += format(value & (1 << width) - 1, f"0{width}b") if width else ""
+
+    def rice(self, residuals, method, parameter, partitions=0):
+        self.put(method, 2)
+        self.put(partitions, 4)
+        span = flac.SIZE >> partitions
+        order = flac.SIZE - len(residuals)
+        at = 0
+        for i in range(1 << partitions):
+            part = residuals[at : at + span - (order if i == 0 else 0)]
+            at += len(part)
+            k = parameter[i % len(parameter)]
+            if k < 0:  # escaped, -k - 1 bits a number
+                self.put((1 << 4 + method) - 1, 4 + method)
+                self.put(-k - 1, 5)
+                for v in part:
+                    self.put(v, -k - 1)
+                continue
+            self.put(k, 4 + method)
+            for v in part:
+                u = 2 * v if v >= 0 else -2 * v - 1
+                self.bits += "0" * (u >> k) + "1"
+                self.put(u, k)
+
+    def bytes(self):
+        bits = self.bits + "0" * (-len(self.bits) % 8)
+        return bytes(int(bits[i : i + 8], 2) for i in range(0, len(bits), 8))
+
+
+def plain_crc(data, width, poly):
+    c = 0
+    for b in data:
+        c ^= b << width - 8
+        for _ in range(8):
+            c = (c << 1 ^ poly if c >> width - 1 else c << 1) & (1 << width) - 1
+    return c
+
+
+def frame(number, subframe):
+    head = b"\xff\xf8\x20\x02" + flac._frame_number(number)
+    body = head + bytes([plain_crc(head, 8, 0x07)]) + subframe
+    return body + plain_crc(body, 16, 0x8005).to_bytes(2)
+
+
+def stream(samples, frames):
+    pcm = b"".join(bytes(v & 0xFF for v in s) for s in samples)
+    info = bytes.fromhex("02400240") + bytes(6) + (8000 << 44 | 7 << 36 | len(pcm)).to_bytes(8) + hashlib.md5(pcm).digest()
+    seek, at = b"", 0
+    for i, f in enumerate(frames):
+        seek += (i * flac.SIZE).to_bytes(8) + at.to_bytes(8) + flac.SIZE.to_bytes(2)
+        at += len(f)
+    return b"fLaC\x00" + len(info).to_bytes(3) + info + b"\x83" + len(seek).to_bytes(3) + seek + b"".join(frames), bytes(v & 0xFF ^ 0x80 for v in pcm)
+
+
+def coded(samples, kind, wasted, method, parameter, partitions, precision=0, shift=0, c=()):
+    w, depth = Writer(), 8 - wasted
+    x = [v >> wasted for v in samples]
+    w.put(kind << 1 | (wasted > 0), 8)
+    if wasted:
+        w.put(1, wasted)
+    if kind == 0:
+        w.put(x[0], depth)
+    elif kind == 1:
+        for v in x:
+            w.put(v, depth)
+    else:
+        order = kind - 31 if kind >= 32 else kind - 8
+        for v in x[:order]:
+            w.put(v, depth)
+        if kind >= 32:
+            w.put(precision - 1, 4)
+            w.put(shift, 5)
+            for v in c:
+                w.put(v, precision)
+        else:
+            c = flac.FIXED[order]
+        w.rice([x[i] - (sum(c[j] * x[i - 1 - j] for j in range(order)) >> shift) for i in range(order, flac.SIZE)], method, parameter, partitions)
+    return w.bytes()
+
+
+def test_all_forms_of_frames_are_read():
+    rng = random.Random(4)
+    wave = [round(90 * np.sin(i / 9)) + rng.randint(-3, 3) for i in range(flac.SIZE)]
+    forms = [
+        (wave, 9, 0, 0, [3], 0), (wave, 10, 0, 1, [4], 0), (wave, 10, 0, 1, [20], 1), (wave, 9, 0, 0, [3, -8, 2, -9], 4), (wave, 8, 0, 0, [-9], 0), (wave, 12, 0, 1, [-13, 5], 3),
+        ([v & ~3 for v in wave], 9, 2, 0, [3], 2), ([v & ~7 for v in wave], 1, 3, 0, [0], 0), ([64] * flac.SIZE, 0, 6, 0, [0], 0), ([0] * flac.SIZE, 8, 0, 0, [-1], 0),
+        (wave, 33, 0, 0, [4], 0, 9, 6, (100, -40)), (wave, 33, 0, 0, [3], 2, 12, 8, (400, -150)), (wave, 33, 0, 1, [-12, 3], 1, 7, 4, (25, -10)), ([v & ~1 for v in wave], 34, 1, 0, [5], 0, 15, 10, (900, 100, -20)),
+        (wave, 1, 0, 0, [0], 0), (wave, 8, 0, 0, [0], 0),
+    ]
+    frames = [frame(i, coded(*f)) for i, f in enumerate(forms)]
+    data, want = stream([f[0] for f in forms], frames)
+    one, two = read_streams([data, data])
+    assert one == two == want
+    for at in (60, 200, len(data) - 40, len(data) - 1):
+        broken = bytearray(data)
+        broken[-at if at < 100 else at] ^= 4
+        with pytest.raises((CorruptMedia, ValueError, IndexError)):
+            read_streams([bytes(broken)])
+
+
 CASES = {
     "<p>One<p>Two <b>three</b>\n four": "One\n\nTwo three four",
     "a<br>b<br><br>c": "a\nb\n\nc",

@@ -20,6 +20,7 @@ SIZE = 576  #: samples of a frame
 RATE = 8000
 ORDER, PRECISION, SHIFT = 4, 8, 5  #: of the linear predictor that the writer tries
 FRAMES = 3072  #: frames coded at once
+BLOCK = 16  #: frames of a PCM block
 MB = 1 << 20
 
 #: Fixed predictors of the FLAC format by order, newest sample first.
@@ -234,24 +235,37 @@ class _Bits:
 
 def _unpack(bits: _Bits, pos: np.ndarray, order: int, end: np.ndarray) -> np.ndarray:
     """Rice residuals (SIZE - order rows, a column a frame); partitions of any order, one word of position a frame."""
-    if (bits.field(pos, 2) > 0).any():
-        raise CorruptMedia("only Rice coding with 4-bit parameters is read")
+    method = bits.field(pos, 2)
+    if (method > 1).any():
+        raise CorruptMedia("a reserved coding of residuals")
+    wide = (4 + method).astype(np.uint64)  # bits of a parameter, of which all ones escape to plain numbers
     parts = bits.field(pos + 2, 4)
+    if (SIZE % (1 << parts)).any() or (SIZE >> parts < order).any():
+        raise CorruptMedia("partitions that don't fit the frame")
     pos = pos + 6
     span = SIZE >> parts
     changes = {j for s in np.unique(span).tolist() for j in [order, *range(s, SIZE, s)]}
     out = np.empty((SIZE - order, len(pos)), np.uint64)
     k = np.zeros(len(pos), np.uint64)
+    plain = np.full(len(pos), -1)  # bits of escaped numbers
     one, top = np.uint64(1), np.uint64(63)
     for j in range(order, SIZE):
         if j in changes:
             new = np.ones(len(pos), bool) if j == order else j % span == 0
-            k = np.where(new, bits.field(pos, 4), k).astype(np.uint64)
-            if (k == 15).any():
-                raise CorruptMedia("escaped partitions are not read")
-            pos = pos + 4 * new
+            k = np.where(new, (bits.at(pos) >> np.uint64(64) - wide).astype(np.int64), k).astype(np.uint64)
+            pos = pos + wide.astype(np.int64) * new
+            escaped = new & (k == (one << wide) - one)
+            plain = np.where(new, -1, plain)
+            if escaped.any():
+                plain = np.where(escaped, bits.field(pos, 5), plain)
+                pos = pos + 5 * escaped
+            k = np.where(plain >= 0, 0, k).astype(np.uint64)
             rest = top - k
             step = (k + one).astype(np.int64)
+            raw = np.flatnonzero(plain >= 0)
+        if len(raw):  # these rows are read apart, the others as if these weren't there
+            out[j - order], pos = _mixed(bits, pos, plain, k, end)
+            continue
         w = bits.at(pos)
         q = _ZEROS[w >> np.uint64(48)]
         if q.max() < 16:
@@ -280,6 +294,65 @@ def _unpack(bits: _Bits, pos: np.ndarray, order: int, end: np.ndarray) -> np.nda
     return u >> 1 ^ -(u & 1)
 
 
+def _mixed(bits: _Bits, pos: np.ndarray, plain: np.ndarray, k: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """One residual of each frame, of which some are in escaped partitions: zigzag values and positions behind."""
+    u, pos = np.zeros(len(pos), np.uint64), pos.copy()
+    for n in np.unique(plain[plain >= 0]).tolist():
+        rows = np.flatnonzero(plain == n)
+        v = bits.signed(pos[rows], n) if n else np.zeros(len(rows), np.int64)
+        u[rows] = ((v << 1) ^ (v >> 63)).astype(np.uint64)
+        pos[rows] += n
+    rows = np.flatnonzero(plain < 0)
+    q, on = np.zeros(len(rows), np.int64), np.ones(len(rows), bool)
+    while on.any():
+        z = _ZEROS[bits.at(pos[rows]) >> np.uint64(48)].astype(np.int64)
+        q, pos[rows] = np.where(on, q + z, q), pos[rows] + np.where(on, z, 0)
+        on &= z == 16
+        if (pos[rows] > end[rows]).any():
+            raise CorruptMedia("a code runs beyond its frame")
+    low = np.where(k[rows] > 0, (bits.at(pos[rows] + 1) >> np.minimum(np.uint64(64) - k[rows], np.uint64(63))).astype(np.int64), 0)
+    u[rows] = q.astype(np.uint64) << k[rows] | low.astype(np.uint64)
+    pos[rows] += 1 + k[rows].astype(np.int64)
+    return u, pos
+
+
+def _subframes(bits: _Bits, kind: int, depth: int, pos: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Samples of ``depth`` bits of subframes of one kind, the fields of which begin at ``pos``."""
+    if kind == 0:
+        return bits.signed(pos, depth)[:, None]
+    if kind == 1:
+        if (pos + depth * SIZE > end).any():
+            raise CorruptMedia("samples run beyond their frame")
+        return bits.signed(pos[:, None] + depth * np.arange(SIZE), depth)
+    if not (8 <= kind <= 12 or kind >= 32):
+        raise CorruptMedia("a reserved kind of subframe")
+    order = kind - 31 if kind >= 32 else kind - 8
+    y = np.empty((SIZE, len(pos)), np.int64)
+    for i in range(order):
+        y[i] = bits.signed(pos + depth * i, depth)
+    pos = pos + depth * order
+    if kind >= 32:
+        precision, shift = bits.field(pos, 4) + 1, bits.signed(pos + 4, 5)
+        if (precision > 15).any() or (shift < 0).any():
+            raise CorruptMedia("a reserved precision, or a negative shift")
+        c = np.empty((order, len(pos)), np.int64)
+        for w in np.unique(precision).tolist():
+            own = np.flatnonzero(precision == w)
+            for i in range(order):
+                c[i, own] = bits.signed(pos[own] + 9 + w * i, w)
+        pos = pos + 9 + precision * order
+    else:
+        c, shift = [np.int64(v) for v in FIXED[order]], np.zeros(len(pos), np.int64)
+    y[order:] = _unpack(bits, pos, order, end)
+    if order:
+        for j in range(order, SIZE):
+            guess = c[0] * y[j - 1]
+            for i in range(1, order):
+                guess = guess + c[i] * y[j - 1 - i]
+            y[j] += guess >> shift
+    return y.T
+
+
 def read_frames(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, numbers: np.ndarray) -> np.ndarray:
     """Samples (a row a frame) of the frames data[start:end]; every checksum and frame number is verified."""
     lengths = ends - starts
@@ -300,42 +373,17 @@ def read_frames(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, numbers:
     bits = _Bits(data)
     at = starts + 5 + size
     kind = data[at].astype(np.int64)
-    if (kind & 0x81).any():
-        raise CorruptMedia("wasted bits are not read")
+    if (kind & 0x80).any():
+        raise CorruptMedia("a subframe's first bit")
+    first = 8 * (at + 1)
+    wasted = np.where(kind & 1, _ZEROS[bits.at(first) >> np.uint64(48)].astype(np.int64) + 1, 0)
+    if (wasted > 7).any():
+        raise CorruptMedia("all bits are wasted")
     kind >>= 1
-    at = at + 1
     x = np.empty((len(starts), SIZE), np.int64)
-    for t in np.unique(kind).tolist():
-        rows = np.flatnonzero(kind == t)
-        p, end = at[rows], 8 * (ends[rows] - 2)
-        if t == 0:
-            x[rows] = data[p].astype(np.int8)[:, None]
-        elif t == 1:
-            x[rows] = data[p[:, None] + np.arange(SIZE)].view(np.int8)
-        elif 8 <= t <= 12 or t >= 32:
-            order = t - 31 if t >= 32 else t - 8
-            y = np.empty((SIZE, len(rows)), np.int64)
-            y[:order] = data[p[:, None] + np.arange(order)].view(np.int8).T
-            pos = 8 * (p + order)
-            if t >= 32:
-                precision, shift = np.unique(bits.field(pos, 4) + 1), bits.signed(pos + 4, 5)
-                if len(precision) > 1 or (shift < 0).any():
-                    raise CorruptMedia("predictors of different precision, or a negative shift")
-                w = int(precision[0])
-                c = [bits.signed(pos + 9 + w * i, w) for i in range(order)]
-                pos = pos + 9 + w * order
-            else:
-                c, shift = [np.int64(v) for v in FIXED[order]], np.zeros(len(rows), np.int64)
-            y[order:] = _unpack(bits, pos, order, end)
-            if order:
-                for j in range(order, SIZE):
-                    guess = c[0] * y[j - 1]
-                    for i in range(1, order):
-                        guess = guess + c[i] * y[j - 1 - i]
-                    y[j] += guess >> shift
-            x[rows] = y.T
-        else:
-            raise CorruptMedia("a reserved kind of subframe")
+    for t, waste in sorted(set(zip(kind.tolist(), wasted.tolist(), strict=True))):
+        rows = np.flatnonzero((kind == t) & (wasted == waste))
+        x[rows] = _subframes(bits, t, 8 - waste, first[rows] + waste, 8 * (ends[rows] - 2)) << waste
     return x
 
 
@@ -414,7 +462,12 @@ def to_media(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return lean(docs).select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text")).mapInArrow(run, "doc_id long, n_bytes long, media binary")
 
 
-def pcm_blocks(media: DataFrame, frames: int = 16) -> DataFrame:
+def blocks_of(pcm: bytes, frames: int) -> Iterator[tuple[int, bytes]]:
+    """A stream's samples in blocks of ``frames`` frames, each with its sample offset, by which it can be sought."""
+    return ((at, pcm[at : at + frames * SIZE]) for at in range(0, len(pcm), frames * SIZE))
+
+
+def pcm_blocks(media: DataFrame, frames: int = BLOCK) -> DataFrame:
     """doc_id, sample_offset, n_samples and pcm of blocks of ``frames`` frames, read from a media column; a null media has none."""
     schema = pa.schema([("doc_id", pa.int64()), ("sample_offset", pa.int64()), ("n_samples", pa.int64()), ("pcm", pa.binary())])
 
@@ -422,8 +475,8 @@ def pcm_blocks(media: DataFrame, frames: int = 16) -> DataFrame:
         for batch in it:
             ids, streams = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for part in _runs([len(s) for s in streams]):
-                rows = [(d, at, p[at : at + frames * SIZE]) for d, p in zip(ids[part], read_streams(streams[part]), strict=True) for at in range(0, len(p), frames * SIZE)]
-                yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()), pa.array([len(r[2]) for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.binary())], schema=schema)
+                rows = [(d, at, len(b), b) for d, p in zip(ids[part], read_streams(streams[part]), strict=True) for at, b in blocks_of(p, frames)]
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
 
     return media.where("media is not null").select("doc_id", "media").mapInArrow(run, "doc_id long, sample_offset long, n_samples long, pcm binary")
 
@@ -434,20 +487,28 @@ def features(payload: bytes) -> str:
     return f"n={len(x)};min={x.min()};max={x.max()};sum={x.sum()};energy={(x * x).sum()};crossings={np.count_nonzero((x[1:] < 0) != (x[:-1] < 0))}"
 
 
-def media_digest(media: DataFrame) -> DataFrame:
-    """Digests and features of the stored streams and of what is read back from them."""
-    names = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
+def media_digest(media: DataFrame, frames: int = BLOCK) -> DataFrame:
+    """Digests and features of the stored streams and of what is read back from them, and of its PCM blocks.
+
+    n_blocks counts the blocks, blocks_crc32 is the CRC-32 of their sample offsets and numbers of
+    samples (little-endian, 64 bits each), one block after the other. A null media has null in all
+    columns but doc_id and n_bytes; a stream that fails a checksum raises. Other columns are not read.
+    """
+    names = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, n_blocks long, blocks_crc32 long"
     kinds = {"long": pa.int64(), "string": pa.string()}
     schema = pa.schema([(c.split()[0], kinds[c.split()[1]]) for c in names.split(", ")])
 
+    def digest(doc: int | None, n: int | None, stream: bytes, pcm: bytes) -> tuple:
+        places = [struct.pack("<QQ", at, len(b)) for at, b in blocks_of(pcm, frames)]
+        return doc, n, len(pcm), hashlib.sha256(pcm).hexdigest(), zlib.crc32(pcm[-32:]), len(stream), hashlib.sha256(stream).hexdigest(), features(pcm), len(places), zlib.crc32(b"".join(places))
+
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
             ids, sizes, streams = (c.to_pylist() for c in batch.columns)
-            for part in _runs([len(s) for s in streams]):
-                rows = [
-                    (d, n, len(p), hashlib.sha256(p).hexdigest(), zlib.crc32(p[-32:]), len(s), hashlib.sha256(s).hexdigest(), features(p))
-                    for d, n, s, p in zip(ids[part], sizes[part], streams[part], read_streams(streams[part]), strict=True)
-                ]
+            for part in _runs([len(s or b"") for s in streams]):
+                there = [s for s in streams[part] if s is not None]
+                pcm = iter(read_streams(there) if there else [])
+                rows = [(d, n, *[None] * 8) if s is None else digest(d, n, s, next(pcm)) for d, n, s in zip(ids[part], sizes[part], streams[part], strict=True)]
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
 
     return media.select("doc_id", "n_bytes", "media").mapInArrow(run, names)
