@@ -1,53 +1,3 @@
-"""The corpus pipeline: documents without toxic ones and copies, mixed to target weights, packed.
+"""The corpus pipeline; its stages are in ``tidemark.llm.pipeline``."""
 
-The stages have no SQL: their classifier, sketches, schedule and tokenizer can't be stated in it.
-The tests hold each against a plain version of its own.
-"""
-
-from __future__ import annotations
-
-from pyspark.sql import DataFrame, SparkSession
-
-from tidemark.llm.common import materialize
-from tidemark.llm.exact_dedup import without_copies
-from tidemark.llm.mixing import mixed
-from tidemark.llm.near_dedup import without_near_copies
-from tidemark.llm.packing import pack
-from tidemark.llm.toxicity import without_toxic
-
-
-def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier, fitted on the labels, doesn't call toxic."""
-    return without_toxic(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-
-
-def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts, the document with the largest id."""
-    return without_copies(docs)
-
-
-def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates."""
-    return without_near_copies(docs)
-
-
-def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them."""
-    return mixed(docs)
-
-
-def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of documents in windows, with their ids."""
-    return pack(docs)
-
-
-STAGES = [("toxicity", toxicity), ("exact_dedup", exact), ("near_dedup", near), ("mixing", mixing), ("packing", packing)]
-
-ORACLE_SQL = None
-
-
-def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES[:-1]:
-        docs = materialize(stage(spark, docs, sf_dir), name)
-    return STAGES[-1][1](spark, docs, sf_dir)
+from tidemark.llm.pipeline import ORACLE_SQL, STAGES, run  # noqa: F401
