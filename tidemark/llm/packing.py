@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import heapq
+import json
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -18,11 +19,12 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tidemark.llm.common import lean, text_of
-from tidemark.llm.textkit import MAY_SPACE, SPACES, Block, blocks, distinct, spread
+from tidemark.llm.textkit import MAY_SPACE, SPACES, Block, blocks, distinct, spread, trim
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, tier int, step_group long, ids binary"
 _PIECES = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64()), ("tier", pa.int32()), ("step_group", pa.int64()), ("ids", pa.binary())])
 
+TEXT = 2 << 20  #: bytes of text encoded at once
 REMEMBERED = 256  #: bytes of the longest chunk that is remembered between blocks
 _ENCODERS: dict[str, ChunkEncoder] = {}
 
@@ -37,15 +39,17 @@ class ChunkEncoder:
     special strings go through the tokenizer itself.
     """
 
-    def __init__(self, name: str, most: int = 300_000) -> None:
+    def __init__(self, name: str, most: int = 150_000) -> None:
         path = public_tokenizers.path
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(path(f"{name}.tiktoken"), "rb"))}
         self.encode = tiktoken.Encoding(name, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
         self.bytes_of = np.zeros(max(ranks.values()) + 1, np.int64)
         for token, i in ranks.items():
             self.bytes_of[i] = len(token)
-        self.full = Tokenizer.from_file(path(f"{name}.json"))
-        self.special = [t.content.encode() for t in self.full.get_added_tokens_decoder().values()]
+        self.file, self.full = path(f"{name}.json"), None
+        with open(self.file, encoding="utf-8") as f:
+            self.special = [t["content"].encode() for t in json.load(f)["added_tokens"]]
+        trim()
         self.most = most
         self.known: dict[bytes, bytes] = {}
 
@@ -92,6 +96,7 @@ class ChunkEncoder:
         for i in range(block.n):
             text = raw[block.bounds[i] : block.bounds[i + 1]] if special else b""
             if special and any(x in text for x in self.special):
+                self.full = self.full or Tokenizer.from_file(self.file)  # seldom needed, and large
                 yield np.array(self.full.encode(text.decode(), add_special_tokens=False).ids, "<u4")
             else:
                 yield out[ends[i] : ends[i + 1]]
@@ -205,7 +210,7 @@ def pack(docs: DataFrame, tiers: tuple[int, ...] = (256, 512, 1024, 2048), step_
         def rows() -> Iterator[tuple]:
             for batch in it:
                 docs = batch.column(0).to_pylist()
-                for block in blocks(batch.column(1)):
+                for block in blocks(batch.column(1), TEXT):
                     for i, ids in enumerate(encode.block(block), block.first):
                         yield from packer.add(docs[i], ids.tobytes() + end)
             yield from packer.drain(0)

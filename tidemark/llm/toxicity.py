@@ -288,7 +288,7 @@ def mine(rows: DataFrame, most: int) -> tuple[np.ndarray, int, int]:
     def count(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
             y = batch.column(0).to_numpy().astype(np.int64)
-            for block in blocks(batch.column(1)):
+            for block in blocks(batch.column(1), 2 * TEXT):
                 names, doc, f, _ = features_of(block)
                 own = y[block.first : block.first + block.n]
                 n = np.bincount(f, minlength=len(names))
@@ -322,7 +322,7 @@ def ballots(rows: DataFrame, y: DataFrame, voting: np.ndarray) -> DataFrame:
 
     def vote(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
-            for block in blocks(batch.column(1)):
+            for block in blocks(batch.column(1), TEXT):
                 v = votes_of(block, voting)
                 row, voter = np.nonzero(v)
                 ends = np.searchsorted(row, np.arange(block.n + 1)).astype(np.int32)
