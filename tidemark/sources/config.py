@@ -14,7 +14,7 @@ TABLE_COLUMNS = ("table_name", "cut_off_date", "checkpoint_col", "shared_catalog
 REQUIRED = ("table_name", "cut_off_date", "checkpoint_col")
 #: The runtime keys that a file may have.
 RUNTIME_KEYS = ("vacuum_after", "vacuum_retain_hours", "vacuum_override_retention_check")
-#: Where a path may be mounted instead.
+#: Where a path may be mounted instead (fixed value).
 MOUNTS = ("/Workspace",)
 PLACES = ("shared_catalog", "shared_schema", "target_catalog", "target_schema")
 
