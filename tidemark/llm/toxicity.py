@@ -363,9 +363,11 @@ def _filled(lists: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 def label_model(found: DataFrame, m: int, seeds: np.ndarray, rounds: int = 6) -> LabelModel:
     """The generative model of ``m`` voters, fitted by expectation maximisation on all ballots.
 
-    Labels give the first estimate (without any, the ``seeds``, trusted voters, do); from then on a
-    row's class is what its votes say, labelled or not. Dependences are found anew in the second
-    round. At the end labels calibrate the log odds.
+    Labels give the first estimate (without any, the ``seeds``, trusted voters, do). Then rows without
+    a label count for the classes as their votes say; labelled rows keep their class, so that a voter
+    that mostly fires alone isn't taken for noise. Labels so fix accuracies and correlations but never
+    a row's posterior, which is that of its votes. Dependences are found anew in the second round. At
+    the end labels calibrate the log odds.
     """
     mass, fires, both = _sums(found, m, lambda v, n, n1, n0: (n0, n1))
     if mass.min() < 1:
@@ -382,8 +384,8 @@ def label_model(found: DataFrame, m: int, seeds: np.ndarray, rounds: int = 6) ->
     for i in range(rounds):
 
         def expected(v: np.ndarray, n: np.ndarray, n1: np.ndarray, n0: np.ndarray, now: LabelModel = model) -> tuple[np.ndarray, np.ndarray]:
-            q = now.posterior(v)
-            return n * (1 - q), n * q
+            q, free = now.posterior(v), n - n1 - n0
+            return n0 + free * (1 - q), n1 + free * q
 
         mass, fires, both = _sums(found, m, expected)
         if i == 1:
