@@ -314,6 +314,106 @@ def test_scores_agree_with_a_plain_model(spark):
     assert abs(sum(got.values()) / sum(mean.values()) - 1) < 0.005
 
 
+def full_model(rows, sweeps, first, seed):
+    """Scores of a plain hierarchical Pitman-Yor model that seats the customers of words' restaurants too; seats change at once on all levels."""
+    rng = random.Random(seed)
+
+    def up(k, place):
+        if k == 0:
+            raw = b"" if place is None else place.encode()
+            return (int(L._CLASS[raw[-1]]), int(L._CLASS[raw[-2]]) if len(raw) > 1 else 0) if raw else (None,)
+        return place[:1] if k == 1 else ()
+
+    learnt = [(before, w) for i, text in rows if not held(i, 10) for t in [tokens(text)] for before, w in zip([None, *t], t, strict=False)]
+    v = len({w for _, w in learnt})
+    seats, people, tables = [defaultdict(list) for _ in range(4)], [Counter() for _ in range(4)], [Counter() for _ in range(4)]
+    params = [(0.5, 1.0)] * 4
+
+    def p(k, place, w):
+        if k == 4:
+            return 1 / (v + 1)
+        (d, a), own = params[k], seats[k].get((place, w), ())
+        return (sum(own) - d * len(own) + (a + d * tables[k][place]) * p(k + 1, up(k, place), w)) / (a + people[k][place])
+
+    def come(k, place, w):
+        if k < 4:
+            (d, a), own = params[k], seats[k][place, w]
+            at = rng.choices(range(len(own) + 1), [*(n - d for n in own), (a + d * tables[k][place]) * p(k + 1, up(k, place), w)])[0]
+            people[k][place] += 1
+            if at < len(own):
+                own[at] += 1
+            else:
+                own.append(1)
+                tables[k][place] += 1
+                come(k + 1, up(k, place), w)
+
+    def go(k, place, w):
+        if k < 4:
+            own = seats[k][place, w]
+            at = rng.choices(range(len(own)), own)[0]
+            people[k][place] -= 1
+            own[at] -= 1
+            if not own[at]:
+                del own[at]
+                tables[k][place] -= 1
+                go(k + 1, up(k, place), w)
+
+    for x in learnt:
+        come(0, *x)
+    grid, total = [(float(d), float(a)) for d in L.GRID_D for a in L.GRID_A], Counter()
+    for s in range(sweeps):
+        for k in range(4):
+            for place, w in learnt if k == 0 else [x for x, own in seats[k].items() for _ in range(sum(own))]:
+                go(k, place, w)
+                come(k, place, w)
+        for k in range(4):
+            sizes = Counter(n for own in seats[k].values() for n in own)
+            by_d = {float(d): sum(n * (math.lgamma(x - d) - math.lgamma(1 - d)) for x, n in sizes.items()) for d in L.GRID_D}
+            log_p = [by_d[d] + sum((t - 1) * math.log(d) + math.lgamma(a / d + t) - math.lgamma(a / d + 1) - math.lgamma(a + people[k][r]) + math.lgamma(a + 1) for r, t in tables[k].items() if t) for d, a in grid]
+            params[k] = rng.choices(grid, [math.exp(x - max(log_p)) for x in log_p])[0]
+        if s >= first:
+            for x in {(before, w) for _, text in rows for t in [tokens(text)] for before, w in zip([None, *t], t, strict=False)}:
+                total[x] += p(0, *x) / (sweeps - first)
+    return {i: sum(math.log10(total[x]) for t in [tokens(text)] for x in zip([None, *t], t, strict=False)) for i, text in rows}
+
+
+def test_op3_seats_the_customers_of_words_restaurants(spark, tmp_path):
+    """The query against a plain model of all levels, which differs from one table a dish."""
+    rng = random.Random(14)
+    words = [f"{a}{b}{c}" for a in "bdkl" for b in "aei" for c in ("n", "s", "", "lo")]
+    rows = []
+    for i in range(300):  # every text draws from few words, so that pairs recur and their tables matter
+        own = rng.choices(words, k=4)
+        rows.append((i, " ".join(rng.choices(own, k=20))))
+    rows += [(300, None), (301, "unseen words here"), (302, " ".join(["ban bas"] * 200))]
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    docs, score = spark.read.parquet(f"{tmp_path}/documents.parquet"), lambda df: {r["doc_id"]: r["score"] for r in df.collect()}
+    plain = [full_model(rows, 30, 10, seed) for seed in (1, 2)]
+    mean = {i: sum(p[i] for p in plain) / 2 for i, _ in rows}
+    off = lambda got: sum(abs(got[i] - mean[i]) for i, _ in rows)
+    one_table = score(L.lm_scores(docs))
+    assert abs(sum(one_table.values()) / sum(mean.values()) - 1) > 0.02
+    assert off(score(L.op3_lm_scoring(spark, str(tmp_path)))) < 0.7 * off(one_table)  # after a few sweeps
+    got = score(L.lm_scores(docs, seat_words=True, burn_in=6, samples=10))
+    assert all(abs(got[i] - mean[i]) < 0.25 + 0.02 * abs(mean[i]) for i, _ in rows)
+    assert abs(sum(got.values()) / sum(mean.values()) - 1) < 0.005
+
+
+@pytest.mark.parametrize("c", [9, 40])
+def test_scans_that_hold_tables_only_have_the_exact_distribution(c):
+    m, pull, d = 4000, 2.0, 0.6
+    s = {(0, 0): 1.0}
+    for n in range(1, c + 1):
+        for t in range(n + 1):
+            s[n, t] = s.get((n - 1, t - 1), 0) + (n - 1 - d * t) * s.get((n - 1, t), 0)
+    want = np.array([pull**t * s[c, t] for t in range(1, c + 1)])
+    key, seats = np.arange(m, dtype=np.uint64), L.Seats.single(np.full(m, c))
+    for sweep in range(8):
+        seats = seats.scanned(np.full(m, c), np.full(m, pull), d, key, sweep)
+        assert (np.bincount(np.repeat(np.arange(m), seats.t), seats.sizes, m) == c).all()
+    assert np.abs(np.bincount(seats.t, minlength=c + 1)[1:] / m - want / want.sum()).max() < 0.03
+
+
 @pytest.fixture(scope="module")
 def toxic(spark):
     """Insults in one language, word beginnings in another, junk; labels of some rows, twice for one, null for one."""
